@@ -1,0 +1 @@
+"""The workload is batch only, so there are no streaming operators."""
