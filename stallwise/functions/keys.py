@@ -38,6 +38,15 @@ def natural_key(layout: str, **columns: Column) -> Column:
     return F.concat_ws("", *parts)
 
 
+def key_around_day(layout: str, **columns: Column) -> tuple[Column, Column]:
+    """The parts of a key before and after its day.
+
+    They are the same for every day of a rule, so they are made once before the expansion.
+    """
+    head, tail = layout.split("{reserverings_datum}")
+    return natural_key(head, **columns), natural_key(tail, **columns)
+
+
 def md5_key() -> Column:
     """md5 of the history key, over the begin time as it stands in the history."""
     return F.md5(natural_key(HISTORY_KEY))

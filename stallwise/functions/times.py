@@ -9,6 +9,11 @@ from pyspark.sql import Column, functions as F
 # Fixed value: the accepted spelling of a time of day.
 TIME_PATTERN = r"^[0-9][0-9]?[:;][0-9][0-9]?([:;][0-9][0-9]?)?\z"
 
+# The spellings that name a time that exists; 24:00 and a second of 60 do.
+IN_RANGE_PATTERN = (
+    r"^(?:(?:[01]?[0-9]|2[0-3])[:;][0-5]?[0-9](?:[:;](?:[0-5]?[0-9]|60))?|24[:;]0?0(?:[:;]0?0)?)\z"
+)
+
 DAY_START = 0
 DAY_END = 86399
 
@@ -27,32 +32,30 @@ def parse_time(text: Column, default: int, on_invalid: str = "error") -> Column:
     """Seconds of day of a text time; ``default`` when it is NULL or not spelled like a time.
 
     The spelling admits impossible values such as ``9:60``. Like a SQL cast to ``time`` these
-    raise; ``on_invalid="null"`` gives them the default instead. ``24:00:00`` and a second of
-    60 are accepted.
+    raise; ``on_invalid="null"`` gives them the default instead.
     """
     if on_invalid not in ("error", "null"):
         raise ValueError(f"on_invalid must be 'error' or 'null', not {on_invalid!r}")
-    parts = F.split(text, "[:;]")
-    hours = F.get(parts, F.lit(0)).cast("int")
-    minutes = F.get(parts, F.lit(1)).cast("int")
-    seconds = F.coalesce(F.get(parts, F.lit(2)).cast("int"), F.lit(0))
-    total = hours * 3600 + minutes * 60 + seconds
-    in_range = (minutes <= 59) & (seconds <= 60) & (total <= 86400)
-    invalid = F.lit(default)
+    # The added part stands for the seconds where there are none.
+    colons = F.concat(F.translate(text, ";", ":"), F.lit(":0"))
+
+    def part(n: int) -> Column:
+        return F.split_part(colons, F.lit(":"), F.lit(n)).cast("int")
+
+    total = part(1) * 3600 + part(2) * 60 + part(3)
+    parsed = F.when(text.rlike(IN_RANGE_PATTERN), total)
     if on_invalid == "error":
-        invalid = F.raise_error(F.concat(F.lit("time of day out of range: "), text)).cast("int")
-    return F.when(is_time(text), F.when(in_range, total).otherwise(invalid)).otherwise(F.lit(default))
+        complaint = F.concat(F.lit("time of day out of range: "), text)
+        parsed = parsed.when(is_time(text), F.raise_error(complaint).cast("int"))
+    return parsed.otherwise(F.lit(default))
 
 
 def time_text(seconds: Column) -> Column:
     """Seconds of day as ``HH:MM:SS``."""
-
-    def two(n: Column) -> Column:
-        return F.lpad(n.cast("string"), 2, "0")
-
-    hours = F.floor(seconds / 3600).cast("int")
-    minutes = F.floor(F.pmod(seconds, F.lit(3600)) / 60).cast("int")
-    return F.concat(two(hours), F.lit(":"), two(minutes), F.lit(":"), two(F.pmod(seconds, F.lit(60))))
+    hours = F.floor(seconds / 3600)
+    minutes = F.floor(F.pmod(seconds, F.lit(3600)) / 60)
+    two_digits = [F.lpad(n.cast("string"), 2, "0") for n in (hours, minutes, F.pmod(seconds, F.lit(60)))]
+    return F.concat_ws(":", *two_digits)
 
 
 def first_day(as_of: dt.date) -> Column:

@@ -64,7 +64,7 @@ def calendar(spark: SparkSession, sf: str) -> DataFrame:
 
 def expanded_fiscaal(spark: SparkSession, sf: str) -> DataFrame:
     his = history(spark, sf)
-    return plain(expand_fiscaal(fiscaal_rules(his, AS_OF, HORIZON), AS_OF, HORIZON))
+    return plain(expand_fiscaal(fiscaal_rules(his, AS_OF, HORIZON), AS_OF, HORIZON).drop("key_head", "key_tail"))
 
 
 def windows(spark: SparkSession, sf: str) -> DataFrame:
@@ -74,7 +74,7 @@ def windows(spark: SparkSession, sf: str) -> DataFrame:
 
 def expanded_mulder(spark: SparkSession, sf: str) -> DataFrame:
     rules = merge_rules(mulder_windows(history(spark, sf)))
-    return plain(expand_mulder(rules, AS_OF, HORIZON))
+    return plain(expand_mulder(rules, AS_OF, HORIZON).drop("reserverings_key_md5"))
 
 
 def first_rule_per_spot(spark: SparkSession, sf: str) -> DataFrame:
