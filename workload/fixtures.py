@@ -68,7 +68,7 @@ FROM {customer}
 """
 
 RECTANGLES_SQL = """
-SELECT l_returnflag AS straatnaam, CAST(l_partkey % 30 AS INT) AS x0, CAST(l_suppkey % 20 AS INT) AS y0, 2 AS w, 1 AS h
+SELECT l_returnflag AS straatnaam, CAST(l_partkey % 300 AS INT) AS x0, CAST(l_suppkey % 200 AS INT) AS y0, 2 AS w, 1 AS h
 FROM {lineitem}
 """
 
