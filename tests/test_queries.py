@@ -1,0 +1,27 @@
+"""Every registered query against its SQL on the smallest data set."""
+
+import pytest
+
+import __spark_entry__ as entry
+from compare import connect, difference
+
+SF = "/root/testdata/sf0.001"
+ORACLE = entry.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def con():
+    return connect(SF)
+
+
+def test_every_query_has_sql():
+    assert set(entry.queries()) == set(ORACLE)
+
+
+@pytest.mark.parametrize("name", list(entry.queries()))
+def test_matches_sql(spark, con, name):
+    assert difference(entry.queries()[name](spark, SF), con, ORACLE[name]) == ""
+
+
+def test_entry(spark):
+    assert entry.entry(spark).count() > 0
