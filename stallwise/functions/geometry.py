@@ -147,15 +147,18 @@ def rings_of(geom: Column) -> Column:
 
 
 def bounding_box(geom: Column) -> Column:
-    """Least and greatest coordinates over the shells."""
+    """Least and greatest coordinates over the shells; infinite the wrong way round when empty."""
     points = F.flatten(F.transform(geom, lambda polygon: _first(polygon)))
-    xs = F.transform(points, lambda p: p["x"])
-    ys = F.transform(points, lambda p: p["y"])
-    return F.struct(
-        F.array_min(xs).alias("x0"),
-        F.array_min(ys).alias("y0"),
-        F.array_max(xs).alias("x1"),
-        F.array_max(ys).alias("y1"),
+    far = F.lit(float("inf"))
+    return F.aggregate(
+        points,
+        F.struct(far.alias("x0"), far.alias("y0"), (-far).alias("x1"), (-far).alias("y1")),
+        lambda box, p: F.struct(
+            F.least(box["x0"], p["x"]).alias("x0"),
+            F.least(box["y0"], p["y"]).alias("y0"),
+            F.greatest(box["x1"], p["x"]).alias("x1"),
+            F.greatest(box["y1"], p["y"]).alias("y1"),
+        ),
     )
 
 
