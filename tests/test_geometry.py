@@ -178,6 +178,10 @@ REPAIRS = [
     ("double", [[box(0, 0, 4, 4)], [box(2, 2, 4, 4)]], "MultiPolygon", 24, 2),
     ("wound twice", [[ring((0, 0), (6, 0), (6, 6), (2, 6), (2, 2), (4, 2), (4, 4), (0, 4), (0, 0))]], "MultiPolygon", 28, None),
     ("sound donut", DONUT, "MultiPolygon", 84, 1),
+    ("shell in shell", [[box(0, 0, 10, 10)], [box(2, 2, 4, 4)]], "MultiPolygon", 84, 1),
+    ("hole outside", [[box(0, 0, 4, 4), box(10, 0, 2, 2)]], "MultiPolygon", 20, 2),
+    ("island", [[box(0, 0, 10, 10), box(2, 2, 4, 4)], [box(3, 3)]], "MultiPolygon", 85, 2),
+    ("hole at the shell", [[box(0, 0, 4, 4), ring((0, 0), (2, 1), (1, 2), (0, 0))]], "MultiPolygon", 14.5, 1),
     ("none", None, None, None, None),
 ]
 

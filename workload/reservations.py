@@ -22,6 +22,7 @@ from stallwise.plans.reservations import (
     reservations_fiscaal,
     reservations_mulder,
     reservations_mulder_clean,
+    union_reservations,
 )
 from workload import oracle as o
 from workload.fixtures import AS_OF, HORIZON, history
@@ -86,6 +87,11 @@ def doubled_keys(spark: SparkSession, sf: str) -> DataFrame:
     return duplicate_keys(history(spark, sf).select(natural_key("{parkeer_id}-{tvm_begint}").alias("sleutel")), "sleutel")
 
 
+def union_summary(spark: SparkSession, sf: str) -> DataFrame:
+    both = union_reservations(_fis(spark, sf), _mul(spark, sf))
+    return plain(both.groupBy("soort", "reserverings_datum").agg(F.count(F.lit(1)).alias("aantal"), F.sum("begin_tijd").alias("begin_som")))
+
+
 RES_OUT = """k AS reserverings_key_md5, parkeer_id, parkeer_id AS parkeer_id_md5, soort, kenteken,
  CAST(datum AS VARCHAR) AS reserverings_datum, CAST(bd AS VARCHAR) AS begin_datum, CAST(ed AS VARCHAR) AS eind_datum,
  b AS begin_tijd, e AS eind_tijd, opm AS opmerkingen, bron AS reservering_bron"""
@@ -109,6 +115,7 @@ QUERIES = {
     "m3_reservations_mulder": lambda s, d: plain(_mul(s, d)),
     "m4_reservations_mulder_clean": lambda s, d: _clean(reservations_mulder_clean(_mul(s, d), _fis(s, d))),
     "m6_publish_reservations": lambda s, d: plain(published_reservations(history(s, d), AS_OF, HORIZON)),
+    "g2_union_reservations": union_summary,
     "n1_clamped_fiscaal_days": lambda s, d: plain(clamped_fiscaal_days(history(s, d), AS_OF, HORIZON)),
     "n2_latest_approved_mulder": lambda s, d: _clean(latest_approved_mulder(history(s, d), AS_OF, HORIZON)),
 }
@@ -144,6 +151,8 @@ ORACLE = {
  FROM (SELECT *, 'MULDER' AS soort, CAST(NULL AS DATE) AS bd, CAST(NULL AS DATE) AS ed, CAST(NULL AS VARCHAR) AS bron FROM mul)"""),
     "m4_reservations_mulder_clean": o.with_([*PAIRED, o.CTE_CLEAN], f"SELECT {CLEAN_OUT} FROM clean"),
     "m6_publish_reservations": o.with_(o.RES_LAYERS, f"SELECT {RES_OUT} FROM res"),
+    "g2_union_reservations": o.with_(PAIRED, """SELECT soort, CAST(datum AS VARCHAR) AS reserverings_datum, count(*) AS aantal,
+ CAST(sum(b) AS BIGINT) AS begin_som FROM (SELECT 'FISCAAL' AS soort, datum, b FROM fis UNION ALL SELECT 'MULDER', datum, b FROM mul) GROUP BY ALL"""),
     "n1_clamped_fiscaal_days": o.with_([o.CTE_HIS, o.CTE_CAL, o.CTE_FIS], """SELECT DISTINCT parkeer_id, CAST(datum AS VARCHAR) AS reserverings_datum,
  CASE WHEN datum = bd THEN b ELSE 0 END AS begin_tijd, CASE WHEN datum = ed THEN e ELSE 0 END AS eind_tijd FROM ruledays"""),
     "n2_latest_approved_mulder": o.with_(
