@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from stallwise.functions.geometry import centroid, geo_id
 from stallwise.operators.dedupe import first_per_key
 from stallwise.operators.overlay import make_valid
+from stallwise.sources.scratch import materialized
 
 SPOT_ATTRIBUTES = ["stadsdeel", "buurtcode", "straatnaam", "soort", "type", "aantal", "e_type", "bord"]
 
@@ -17,9 +18,17 @@ PLATE_SIGN = "E6b"
 
 
 def build_spots(his: DataFrame) -> DataFrame:
-    """One row per spot out of the history rows whose repaired shape is a multipolygon."""
-    rows = his.select(F.col("parkeer_id").alias("parkeer_id_md5"), "parkeer_id", *SPOT_ATTRIBUTES, "geom")
-    sound = make_valid(rows, "geom").filter(F.col("geometry_kind") == "MultiPolygon")
+    """One row per spot out of the history rows whose repaired shape is a multipolygon.
+
+    Rules and snapshots of a spot mostly share one shape. Rows of equal shape are merged to
+    the one that would win anyway before shapes are examined, which is the costly part.
+    """
+    rows = his.select("parkeer_id", *SPOT_ATTRIBUTES, "geom")
+    best = rows.groupBy("parkeer_id", F.xxhash64("geom").alias("hash"), "geom").agg(
+        F.min(F.struct(*SPOT_ATTRIBUTES)).alias("best")
+    )
+    merged = best.select(F.col("parkeer_id").alias("parkeer_id_md5"), "parkeer_id", "best.*", "geom")
+    sound = make_valid(materialized(merged), "geom").filter(F.col("geometry_kind") == "MultiPolygon")
     return first_per_key(sound.drop("geometry_kind"), ["parkeer_id"])
 
 
