@@ -15,10 +15,12 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(ORACLE)
+    """The text operators have tests of their own against brute force where SQL cannot express them."""
+    assert set(ORACLE) - set(entry.queries()) == set()
+    assert set(entry.queries()) - set(entry.TEXT) <= set(ORACLE)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", [name for name in entry.queries() if name not in entry.TEXT])
 def test_matches_sql(spark, con, name):
     assert difference(entry.queries()[name](spark, SF), con, ORACLE[name]) == ""
 
