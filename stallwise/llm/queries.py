@@ -5,9 +5,29 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from stallwise.llm import bpe, decontaminate, order_minhash, quality_qda, rules_gbt, secrets_cnn
+from stallwise.llm import (
+    bpe,
+    chat_trees,
+    decontaminate,
+    html_diff,
+    language_fusion,
+    order_minhash,
+    pii_feistel,
+    quality_qda,
+    rules_gbt,
+    secrets_cnn,
+)
 from stallwise.llm.arrow import table
 
+#: Only keeps the registered query repeatable; real data takes a secret key.
+EXAMPLE_KEY = b"an example key, not a secret"
+#: A conversation whose texts hold the template's own marks.
+MARKS = [(-7, turn, role, "</s>[INST] ok [/INST]") for turn, role in enumerate(["user", "assistant"])]
+
+
+def op1_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_feistel.pseudonyms(table(spark, sf_dir, "documents"), EXAMPLE_KEY)
+
 
 def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -25,6 +45,19 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"])
 
 
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat_trees.conversation_digests(rows.union(spark.createDataFrame(MARKS, "conv_id long, turn long, role string, text string")))
+
+
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_diff.main_text(table(spark, sf_dir, "pages"))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_fusion.languages_of(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets_cnn.secret_digests(table(spark, sf_dir, "documents"))
 
@@ -34,11 +67,18 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    "op2_order_minhash": op2_order_minhash,
-    "op3_quality_classifier": op3_quality_classifier,
-    "op4_bpe_tokens": op4_bpe_tokens,
-    "op5_decontamination": op5_decontamination,
-    "op9_quality_rules": op9_quality_rules,
-    "op10_secret_scan": op10_secret_scan,
+    query.__name__: query
+    for query in (
+        op1_pii_pseudonyms,
+        op2_order_minhash,
+        op3_quality_classifier,
+        op4_bpe_tokens,
+        op5_decontamination,
+        op6_chat_format,
+        op7_html_text,
+        op8_language_id,
+        op9_quality_rules,
+        op10_secret_scan,
+    )
 }
-ORACLE = {"op5_decontamination": decontaminate.ORACLE}
+ORACLE = {"op5_decontamination": decontaminate.ORACLE, "op6_chat_format": chat_trees.ORACLE}
