@@ -4,8 +4,9 @@ A text's k-mers are its shingles of five lower-cased words, each labelled with i
 sketch samples the labelled k-mers of the three least hashes under one hash function and keeps them in
 text order, so texts share a sketch if they share content in the same order. Texts with a sketch in
 common form a bucket. In a bucket the members are compared with a few hubs only: a bucket of thousands
-of copies gives a number of pairs in proportion to its members. Linked texts are contracted to one label
-at once, so later rounds, with other hubs, compare only what is still apart.
+of copies gives a number of pairs in proportion to its members. First hubs are the members that share the
+most, as the text that the others are copies of does. Linked texts are contracted to one label at once,
+so later rounds, with other hubs, compare only what is still apart.
 
 Two texts are linked if the Jaccard similarity of their shingle sets is 0.8 or more and a banded
 alignment of their words finds a common subsequence of as large a part of both.
@@ -25,8 +26,10 @@ from stallwise.sources.scratch import materialized
 SHINGLE, SIMILARITY = 5, 0.8
 #: Two texts at the threshold share one sketch with probability of about 0.5, and one of 20 all but surely.
 SKETCHES, SAMPLED = 20, 3
-#: (sketches, hubs of a bucket) of the first rounds; the last is repeated until it links nothing more.
-ROUNDS = ((4, 1), (SKETCHES, 4), (SKETCHES, 16))
+#: (sketches, hubs of a bucket, whether the hubs are those with the most company) of each round.
+ROUNDS = ((4, 1, True), (SKETCHES, 4, True), (SKETCHES, 4, False))
+#: Bits of the filter that keeps texts without company out of the shuffle: 2 MB at any size.
+FILTER_BITS = 1 << 24
 CACHED = 200_000
 _SEEDS = np.random.default_rng(11).integers(1, 2**63, (2, SKETCHES, 1), dtype=np.uint64) | np.uint64(1)
 
@@ -143,14 +146,32 @@ def sketched(docs: DataFrame) -> DataFrame:
     return with_python(d, ["__text"], "__key binary, __n int, __sketches array<bigint>", make, drop=["__text"])
 
 
+def filter_bits(wanted: DataFrame) -> np.ndarray:
+    """A packed filter over the digests of ``wanted``; what reaches the driver is FILTER_BITS bits at most."""
+    bit = F.pmod(F.xxhash64("digest"), F.lit(FILTER_BITS))
+    words = wanted.select(bit.alias("bit")).groupBy(F.expr("bit div 64").cast("int").alias("at"))
+    out = np.zeros(FILTER_BITS // 64, np.int64)
+    for row in words.agg(F.expr("bit_or(shiftleft(1L, cast(bit % 64 as int)))").alias("word")).collect():
+        out[row["at"]] = row["word"]
+    return out
+
+
 def word_rows(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(key, words) of the texts whose digests ``wanted`` (digest, key) has; words are 32-bit hashes in text order."""
+    """(key, words) of the texts whose digests ``wanted`` (digest, key) has; words are 32-bit hashes in text order.
+
+    A filter of fixed size leaves most other texts behind before the join, which is exact.
+    """
+    packed = docs.sparkSession.sparkContext.broadcast(filter_bits(wanted))
 
     def make():
         hashes = _Hashes()
+        known = np.unpackbits(packed.value.view(np.uint8), bitorder="little").view(bool)
 
-        def each(texts):
-            for t in texts:
+        def each(bits, texts):
+            for bit, t in zip(bits, texts, strict=True):
+                if not known[bit]:
+                    yield (None,)
+                    continue
                 words = words_of(t)
                 if len(hashes) > CACHED:
                     hashes.clear()
@@ -159,8 +180,10 @@ def word_rows(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
         return each
 
-    d = docs.select(F.md5("text").alias("digest"), F.col("text").alias("__text")).join(wanted, "digest")
-    return with_python(d, ["__text"], "words binary", make, drop=["__text", "digest"])
+    d = docs.select(F.md5("text").alias("digest"), F.col("text").alias("__text")).filter("digest IS NOT NULL")
+    d = d.withColumn("__bit", F.pmod(F.xxhash64("digest"), F.lit(FILTER_BITS)))
+    found = with_python(d, ["__bit", "__text"], "words binary", make, drop=["__text", "__bit"]).filter("words IS NOT NULL")
+    return found.groupBy("digest").agg(F.first("words").alias("words")).join(wanted, "digest").select("key", "words")
 
 
 def verified(pairs: DataFrame, words: DataFrame) -> DataFrame:
@@ -203,10 +226,10 @@ def contracted(edges: DataFrame) -> DataFrame:
     return roots if roots is not None else edges.select("v", F.col("u").alias("root"))
 
 
-def candidate_pairs(members: DataFrame, labels: DataFrame, sketches_used: int, hubs: int, salt: int) -> DataFrame:
+def candidate_pairs(members: DataFrame, labels: DataFrame, sketches_used: int, hubs: int, central: bool, salt: int) -> DataFrame:
     """Distinct (hub, key) that share a bucket, have different labels and lengths that allow the similarity."""
     open_ = members.filter(F.col("j") < sketches_used).join(labels, "key")
-    order: Column = F.xxhash64("key", F.lit(salt)) if salt else F.lit(0).cast("long")
+    order: Column = -F.col("company") if central else F.xxhash64("key", F.lit(salt))
     share = F.pmod(F.xxhash64("key", F.lit(salt + 1)), F.lit(hubs)) if hubs > 1 else F.lit(0).cast("long")
     row = F.struct(order.alias("h"), F.col("key").alias("hub"), F.col("n").alias("hub_n"), F.col("label").alias("hub_label"))
     found = open_.groupBy("bucket", share.alias("share")).agg(F.min(row).alias("r")).select("bucket", "r.*")
@@ -221,28 +244,22 @@ def near_classes(docs: DataFrame) -> DataFrame:
     nodes = rows.groupBy("__key").agg(F.first("__n").alias("n"), F.first("__sketches").alias("s"), F.min("__digest").alias("digest"))
     nodes = materialized(nodes.withColumnRenamed("__key", "key"))
     single = nodes.select("key", "n", F.posexplode("s").alias("j", "bucket"))
-    full = single.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("bucket")
-    members = materialized(single.join(full, "bucket"))
-    keys = members.select("key").distinct()
-    words = materialized(word_rows(docs, nodes.join(keys, "key", "left_semi").filter("digest IS NOT NULL").select("digest", "key")).dropDuplicates(["key"]))
-    labels = materialized(keys.withColumn("label", F.col("key")))
+    full = single.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    shared = materialized(single.join(full, "bucket"))
+    company = materialized(shared.groupBy("key").agg(F.sum("c").alias("company")))
+    members = materialized(shared.drop("c").join(company, "key"))
+    wanted = materialized(nodes.join(company, "key").filter("digest IS NOT NULL").select("digest", "key"))
+    words = materialized(word_rows(docs, wanted))
+    labels = materialized(company.select("key", F.col("key").alias("label")))
     tried: DataFrame | None = None
-    for turn, (used, hubs) in enumerate([*ROUNDS, *[ROUNDS[-1]] * 1000]):
-        pairs = candidate_pairs(members, labels, used, hubs, 97 * turn)
+    for turn, (used, hubs, central) in enumerate(ROUNDS):
+        pairs = candidate_pairs(members, labels, used, hubs, central, 97 * turn)
         pairs = materialized(pairs if tried is None else pairs.join(tried, ["hub", "key"], "left_anti"))
-        if pairs.isEmpty():
-            if turn:
-                break
-            continue
         tried = pairs if tried is None else tried.unionByName(pairs)
         found = materialized(verified(pairs, words))
         edges = found.join(labels.select(F.col("key").alias("hub"), F.col("label").alias("u")), "hub")
         edges = edges.join(labels.select("key", F.col("label").alias("v")), "key").filter("u != v").select("u", "v").distinct()
         roots = contracted(materialized(edges))
-        if roots.isEmpty():
-            if turn >= len(ROUNDS) - 1:
-                break
-            continue
         moved = labels.join(roots.withColumnRenamed("v", "label"), "label", "left")
         labels = materialized(moved.select("key", F.coalesce("root", "label").alias("label")))
     out = rows.select("doc_id", F.col("__digest").alias("digest"), F.col("__key").alias("key"))
@@ -257,7 +274,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     than five words are one shingle. Every repeated row is listed. Columns of other names play no part.
     """
     rows = near_classes(docs)
-    classes = rows.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
+    # written, so that the join may split the rows of a label that a third of them have
+    classes = materialized(rows.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size")))
     return rows.join(classes, "label").select("doc_id", "class_id", "class_size")
 
 
