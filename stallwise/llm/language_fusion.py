@@ -117,7 +117,8 @@ def host_of(url: Column) -> Column:
 def _votes(rows: DataFrame, by: str, n: int) -> DataFrame:
     """Per value of a column, the sum of the rows' votes for each language."""
     sums = [F.sum(F.col("vote")[k]).alias(f"v{k}") for k in range(n)]
-    return rows.groupBy(by).agg(*sums).select(by, F.array(*[F.col(f"v{k}") for k in range(n)]).alias(f"{by}_votes"))
+    # written, so that its size is known and a join by a hot value may be split
+    return materialized(rows.groupBy(by).agg(*sums).select(by, F.array(*[F.col(f"v{k}") for k in range(n)]).alias(f"{by}_votes")))
 
 
 def _zip(a, b, f) -> Column:

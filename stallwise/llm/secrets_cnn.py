@@ -77,15 +77,14 @@ def codes(text: str) -> np.ndarray:
 
 
 def window(text: str, start: int, end: int) -> np.ndarray:
-    """Classes of the characters before, in and after a candidate; short parts are padded."""
+    """Classes of the characters before, in and after a candidate; short parts are padded, and what stands around has symbols of its own."""
     value = text[start:end] if end - start <= VALUE else text[start : start + VALUE // 2] + text[end - VALUE // 2 : end]
-    parts = [(text[max(0, start - SIDE) : start], SIDE, True), (value, VALUE, False), (text[end : end + SIDE], SIDE, False)]
-    out = []
-    for part, size, right in parts:
-        c = codes(part)
-        pad = np.full(size - len(c), PAD)
-        out += [pad, c] if right else [c, pad]
-    return np.concatenate(out)
+    out = np.full(2 * SIDE + VALUE, PAD)
+    before, inside, after = codes(text[max(0, start - SIDE) : start]), codes(value), codes(text[end : end + SIDE])
+    out[SIDE - len(before) : SIDE] = before + SYMBOLS
+    out[SIDE : SIDE + len(inside)] = inside
+    out[SIDE + VALUE : SIDE + VALUE + len(after)] = after + SYMBOLS
+    return out
 
 
 @dataclass
@@ -120,7 +119,7 @@ def learned(x: np.ndarray, y: np.ndarray, seed: int = 7) -> Network:
     """Train by Adam on logistic loss over rows of classes and 0/1 labels."""
     rng = np.random.default_rng(seed)
     net = Network(
-        rng.normal(0, 0.5, (SYMBOLS, CHANNELS)),
+        rng.normal(0, 0.5, (2 * SYMBOLS, CHANNELS)),
         rng.normal(0, (2 / (WIDTH * CHANNELS)) ** 0.5, (WIDTH * CHANNELS, FILTERS)),
         np.zeros(FILTERS),
         rng.normal(0, FILTERS**-0.5, FILTERS),
