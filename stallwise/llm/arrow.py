@@ -13,6 +13,15 @@ SLICE_ROWS = 256
 SLICE_BYTES = 4 << 20
 
 
+_held: list[Callable[[], None]] = []
+
+
+def hold(clear: Callable[[], None]) -> None:
+    """Say from ``make`` that this worker keeps a cache between tasks; it is cleared when a task of another kind comes."""
+    if clear not in _held:
+        _held.append(clear)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -43,7 +52,12 @@ def with_python(
     names = [f.name for f in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = list(_held)
+        _held.clear()
         each = make()
+        for clear in before:
+            if clear not in _held:
+                clear()
         for batch in batches:
             for part in slices(batch):
                 rows = list(each(*(part.column(part.schema.get_field_index(c)).to_pylist() for c in inputs)))

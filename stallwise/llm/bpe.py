@@ -18,9 +18,9 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stallwise.llm.arrow import free_name, with_python
+from stallwise.llm.arrow import free_name, hold, with_python
 
-CACHED = 120_000
+CACHED = 100_000
 #: What str.split() takes for white space and the pattern does not.
 NOT_SPACE = regex.compile("[\x1c-\x1f]")
 
@@ -41,6 +41,10 @@ class Recent:
         self.new[key] = found
         return found
 
+    def clear(self) -> None:
+        self.new.clear()
+        self.old.clear()
+
 
 def byte_letters() -> list[str]:
     """The printable character that stands for each byte in byte-level vocabularies."""
@@ -67,6 +71,7 @@ class WordBpe:
             self.made.append(self.vocab[left + right])
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.strings = {i: s for s, i in self.vocab.items()} | {i: s for s, i in self.special.items()}
+        self.spelled = [self.strings.get(i, "") for i in range(max(self.strings) + 1)]
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.word = regex.compile(split["pattern"]["Regex"])
         self.cut = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) or r"(?!)")
@@ -100,42 +105,41 @@ class WordBpe:
                 heapq.heappush(queue, found * n + start)
         return [i for i in ids if i >= 0]
 
-    def _word(self, word: str) -> tuple[list[int], str]:
+    def _word(self, word: str) -> list[int]:
         data = word.encode("utf-8")
         ids = [self.inner[b] for b in data]
         ids[-1] = self.final[data[-1]]
-        ids = self._merged(ids)
-        return ids, " ".join([self.strings[i] for i in ids])
+        return self._merged(ids)
 
-    def _chunk(self, chunk: str) -> tuple[list[int], str]:
+    def _chunk(self, chunk: str) -> list[int]:
         found = self.word.findall(chunk)
-        if len(found) == 1:
-            return self.words(found[0])
-        parts = [self.words(w) for w in found]
-        return [i for p in parts for i in p[0]], " ".join([p[1] for p in parts])
+        return self.words(found[0]) if len(found) == 1 else [i for w in found for i in self.words(w)]
 
-    def _plain(self, text: str, parts: list) -> None:
+    def _plain(self, text: str, parts: list[list[int]]) -> None:
         text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()  # letter by letter: no final sigma
         # no match of the pattern holds white space, so what stands between it can be looked up whole
         if NOT_SPACE.search(text):
             parts += [self.words(w) for w in self.word.findall(text)]
             return
-        new, old = self.chunks.new, self.chunks
-        parts += [new.get(c) or old(c) for c in text.split()]
+        new, seek = self.chunks.new, self.chunks
+        parts += [new.get(c) or seek(c) for c in text.split()]
+
+    def clear(self) -> None:
+        """Drop the words kept."""
+        self.words.clear()
+        self.chunks.clear()
 
     def encode(self, text: str | None) -> tuple[np.ndarray, str]:
         """The ids of a text and the text that they decode to; special tokens in it keep their ids."""
-        parts: list[tuple[list[int], str]] = []
+        parts: list[list[int]] = []
         at = 0
         for m in self.cut.finditer(text or ""):
             self._plain(text[at : m.start()], parts)
-            parts.append(([self.special[m[0]]], m[0]))
+            parts.append([self.special[m[0]]])
             at = m.end()
         self._plain((text or "")[at:], parts)
-        if not parts:
-            return np.empty(0, np.int32), ""
-        ids, strings = zip(*parts, strict=True)
-        return np.fromiter(chain.from_iterable(ids), np.int32), " ".join(strings)
+        ids = list(chain.from_iterable(parts))
+        return np.array(ids, np.int32), " ".join(map(self.spelled.__getitem__, ids))
 
     def decode(self, ids) -> str:
         """The vocabulary strings of the ids, one space between each two, as a file without decoder gives them."""
@@ -156,6 +160,7 @@ def encode(d: DataFrame, path: str, text: str = "text", ids: str = "ids", decode
 
     def make():
         bpe = model(path)
+        hold(bpe.clear)
 
         def each(texts):
             for t in texts:
