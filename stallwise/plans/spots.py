@@ -51,9 +51,9 @@ def masked_sign() -> Column:
 
 
 def with_sign_title(spots: DataFrame, e_types: DataFrame) -> DataFrame:
-    """Add ``e_type_desc``. The code list is a fixed handful of rows, hence the broadcast."""
+    """Add ``e_type_desc``. Spark broadcasts the code list when it is small."""
     titles = e_types.select(F.col("code").alias("e_type"), F.col("title").alias("e_type_desc"))
-    return spots.join(F.broadcast(titles), "e_type", "left")
+    return spots.join(titles, "e_type", "left")
 
 
 def geo_spots(spots: DataFrame, e_types: DataFrame) -> DataFrame:

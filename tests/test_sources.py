@@ -192,3 +192,16 @@ def test_whole_update(spark, tmp_path):
         derive(spark, store, day, "1 day")
     with pytest.raises(PySparkException):
         read_snapshots(spark, [second], at_least=8)
+
+
+def test_history_keeps_columns_of_some_districts(spark, tmp_path):
+    path = str(tmp_path / "history")
+    write_history(spark.createDataFrame([("a", 1)], "stadsdeel string, id int"), path)
+    write_history(spark.createDataFrame([("b", 2, "E1")], "stadsdeel string, id int, e_type string"), path)
+    rows = {r["stadsdeel"]: r["e_type"] for r in read_history(spark, path).collect()}
+    assert rows == {"a": None, "b": "E1"}
+
+
+def test_missing_table_counts_nothing(spark):
+    rows = check_layers({"there": spark.range(2), "missing": None}, [row_count("needed", None, 1)]).collect()
+    assert {r["check"]: (r["value"], r["ok"]) for r in rows} == {"count there": (2, True), "count missing": (0, True), "needed": (0, False)}
