@@ -75,31 +75,31 @@ def chosen_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
     known = nodes.select("tree", F.col("node").alias("parent"), F.lit(True).alias("there"))
     linked = nodes.join(known, ["tree", "parent"], "left")
     up = F.when(F.col("there"), F.col("parent")).alias("up")
-    reach = materialized(linked.select("tree", "node", up, F.col("score").alias("total"), F.lit(1).alias("hops")))
+    step = materialized(linked.select("tree", "node", up, F.col("score").alias("total"), F.lit(1).alias("hops")))
+    closed = step.filter("up IS NULL")
     jumps: list[DataFrame] = []
     open_ = None
-    while (left := reach.filter("up IS NOT NULL").count()) and left != open_:
+    # only links that have not met their root are joined, and each round writes only those
+    while (left := step.filter("up IS NOT NULL").count()) and left != open_:
         open_ = left
-        jumps.append(reach.filter("up IS NOT NULL").select("tree", "node", "up"))
-        far = reach.select("tree", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("total").alias("t2"), F.col("hops").alias("h2"))
-        joined = reach.join(far, ["tree", "up"], "left")
-        reach = materialized(
-            joined.select(
-                "tree",
-                "node",
-                F.col("up2").alias("up"),
-                (F.col("total") + F.coalesce("t2", F.lit(0.0))).alias("total"),
-                (F.col("hops") + F.coalesce("h2", F.lit(0))).alias("hops"),
-            )
+        jump = step.filter("up IS NOT NULL")
+        jumps.append(jump.select("tree", "node", "up"))
+        far = closed.unionByName(jump).select(
+            "tree", F.col("node").alias("up"), F.col("up").alias("up2"), F.col("total").alias("t2"), F.col("hops").alias("h2")
         )
-    parents = linked.filter("there").select("tree", F.col("parent").alias("node")).distinct()
-    leaves = reach.filter("up IS NULL").join(parents, ["tree", "node"], "left_anti")
+        total, hops = (F.col("total") + F.col("t2")).alias("total"), (F.col("hops") + F.col("h2")).alias("hops")
+        step = materialized(jump.join(far, ["tree", "up"]).select("tree", "node", F.col("up2").alias("up"), total, hops))
+        closed = closed.unionByName(step.filter("up IS NULL"))
+    parents = nodes.select("tree", F.col("parent").alias("node")).distinct()
+    # written first: Spark would anti-join each part of the union on its own
+    leaves = materialized(closed).join(parents, ["tree", "node"], "left_anti")
     best = Window.partitionBy("tree").orderBy(F.desc("total"), "node")
     chosen = leaves.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= branches)
     laid = materialized(chosen.select("tree", F.col("node").alias("path"), "node", F.col("hops").alias("place")))
     for k, jump in enumerate(jumps):
-        higher = laid.join(jump, ["tree", "node"]).select("tree", "path", F.col("up").alias("node"), (F.col("place") - 2**k).alias("place"))
-        laid = materialized(laid.unionByName(higher))
+        below = laid.filter(F.col("place") > 2**k).join(jump, ["tree", "node"])  # the others have no turn so far above
+        higher = below.select("tree", "path", F.col("up").alias("node"), (F.col("place") - 2**k).alias("place"))
+        laid = laid.unionByName(materialized(higher))
     return laid
 
 
