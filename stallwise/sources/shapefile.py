@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import (
     ArrayType,
     BooleanType,
@@ -138,6 +139,17 @@ def table_layout(path: str) -> Table:
     return Table(records, start, width, fields)
 
 
+def merged_type(name: str, one: DataType, two: DataType) -> DataType:
+    """The type that holds a column's values of two files; numbers get the most digits on either side of the point."""
+    if one == two:
+        return one
+    if isinstance(one, DecimalType) and isinstance(two, DecimalType):
+        scale = max(one.scale, two.scale)
+        whole = max(one.precision - one.scale, two.precision - two.scale)
+        return DecimalType(min(whole + scale, 38), scale)
+    raise ValueError(f"column {name} is {one.simpleString()} in one file and {two.simpleString()} in another")
+
+
 def _inside(point: np.ndarray, ring: np.ndarray) -> bool:
     a, b = ring[:-1], ring[1:]
     spans = (a[:, 1] > point[1]) != (b[:, 1] > point[1])
@@ -184,6 +196,7 @@ class ShapefileReader(DataSourceReader):
     def __init__(self, files: list[str], schema: StructType, options: dict):
         self.files = files
         self.names = schema.names
+        self.types = {f.name: to_arrow_type(f.dataType) for f in schema.fields if f.name not in ("geom", "path")}
         self.encoding = options.get("encoding", "latin1")
         self.per_partition = int(options.get("recordsperpartition", 250_000))
 
@@ -193,9 +206,11 @@ class ShapefileReader(DataSourceReader):
             records = table_layout(sibling(path, "dbf")).records
             for first in range(0, records, self.per_partition):
                 ranges.append(RecordRange(path, first, min(self.per_partition, records - first)))
-        return ranges
+        return ranges or [RecordRange("", 0, 0)]  # Spark asks for one at least
 
     def read(self, partition: RecordRange) -> Iterator[pa.RecordBatch]:
+        if not partition.count:
+            return
         layout = table_layout(sibling(partition.path, "dbf"))
         step = 10_000
         for first in range(partition.first, partition.first + partition.count, step):
@@ -215,19 +230,23 @@ class ShapefileReader(DataSourceReader):
             texts = (
                 table[i * layout.width + field.offset :][: field.width].decode(self.encoding) for i in kept
             )
-            columns[field.name] = pa.array([field.value(t) for t in texts], field.arrow_type())
+            if field.name in self.types:
+                values = pa.array([field.value(t) for t in texts], field.arrow_type())
+                columns[field.name] = values.cast(self.types[field.name])
         starts = [int(offsets[i]) - base + 8 for i in kept]
         bodies = (shapes[s : s + int(lengths[i])] for s, i in zip(starts, kept))
         columns["geom"] = pa.array([decode_polygon(b) for b in bodies], ARROW_GEOM)
         columns["path"] = pa.array([path] * len(kept), pa.string())
-        missing = [n for n in self.names if n not in columns]
-        if missing:
-            raise ValueError(f"{path} lacks {missing}")
+        for name, kind in self.types.items():
+            columns.setdefault(name, pa.nulls(len(kept), kind))
         return pa.RecordBatch.from_arrays([columns[n] for n in self.names], names=self.names)
 
 
 class ShapefileSource(DataSource):
-    """Attributes under their lower-case names, then ``geom`` and the file's ``path``."""
+    """Attributes of all files under their lower-case names, then ``geom`` and the file's ``path``.
+
+    An attribute that a file lacks is NULL for its rows.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -242,8 +261,11 @@ class ShapefileSource(DataSource):
         return found
 
     def schema(self) -> StructType:
-        layout = table_layout(sibling(self.files()[0], "dbf"))
-        attributes = [StructField(f.name, f.spark_type()) for f in layout.fields]
+        types: dict[str, DataType] = {}
+        for path in self.files():
+            for f in table_layout(sibling(path, "dbf")).fields:
+                types[f.name] = merged_type(f.name, types.get(f.name, f.spark_type()), f.spark_type())
+        attributes = [StructField(name, kind) for name, kind in types.items()]
         return StructType([*attributes, StructField("geom", GEOM_TYPE), StructField("path", StringType())])
 
     def reader(self, schema: StructType) -> ShapefileReader:

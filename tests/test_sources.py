@@ -77,6 +77,23 @@ def test_shapefile_pattern_and_errors(spark, tmp_path):
         spark.read.format("shapefile").load(f"{tmp_path}/none*").count()
 
 
+def test_shapefiles_of_differing_columns(spark, tmp_path):
+    geom = [[ring(0, 0)]]
+    write_shapefile(f"{tmp_path}/a", [("id", "C", 5, 0), ("aantal", "N", 6, 0)], [{"id": "a", "aantal": 12345, "geom": geom}])
+    later = [("aantal", "N", 6, 2), ("bord", "C", 9, 0), ("id", "C", 7, 0)]
+    write_shapefile(f"{tmp_path}/b", later, [{"id": "b", "aantal": decimal.Decimal("2.50"), "bord": "x", "geom": geom}])
+    write_shapefile(f"{tmp_path}/c", [("id", "C", 5, 0)], [])
+    register(spark)
+    d = spark.read.format("shapefile").load(str(tmp_path))
+    assert dict(d.dtypes)["aantal"] == "decimal(8,2)"
+    got = {tuple(r) for r in d.select("id", "aantal", "bord").collect()}
+    assert got == {("a", decimal.Decimal("12345.00"), None), ("b", decimal.Decimal("2.50"), "x")}
+    assert spark.read.format("shapefile").load(f"{tmp_path}/c.shp").collect() == []
+    write_shapefile(f"{tmp_path}/d", [("aantal", "C", 5, 0)], [])
+    with pytest.raises(PySparkException, match="aantal"):
+        spark.read.format("shapefile").load(str(tmp_path))
+
+
 def test_snapshot_names(spark):
     names = {
         "/d/West_parkeerhaven_RD_20150202.shp": ("west", dt.date(2015, 2, 2)),
