@@ -58,6 +58,21 @@ def reservations_mulder_clean(mul: DataFrame, fis: DataFrame) -> DataFrame:
     return mulder_free(mul, fis).unionByName(remainders(window_pairs(mul, fis)))
 
 
+def mulder_clean_layer(
+    his: DataFrame, fis: DataFrame, as_of: dt.date, horizon: str = "5 days", on_invalid: str = "error"
+) -> DataFrame:
+    """Mulder reservations minus the fiscaal ones ``fis`` of the same days, from the history.
+
+    Rules are told apart before they become days: those of spots without any measure only expand.
+    What is looked up day by day are the rules of measured spots alone.
+    """
+    rules = merge_rules(mulder_windows(his, last_day(as_of, horizon), on_invalid))
+    measured = fis.select(F.col("parkeer_id").alias("spot")).distinct()
+    free = as_mulder_reservations(expand_mulder(rules.join(measured, "spot", "left_anti"), as_of, horizon))
+    hit = as_mulder_reservations(expand_mulder(rules.join(measured, "spot", "left_semi"), as_of, horizon))
+    return free.unionByName(reservations_mulder_clean(hit, fis))
+
+
 def union_reservations(fis: DataFrame, clean: DataFrame) -> DataFrame:
     """Both kinds as one table; keys are kept as they are."""
     return fis.select(*RESERVATION_COLUMNS).unionByName(clean.select(*RESERVATION_COLUMNS))
@@ -66,8 +81,7 @@ def union_reservations(fis: DataFrame, clean: DataFrame) -> DataFrame:
 def published_reservations(his: DataFrame, as_of: dt.date, horizon: str = "5 days") -> DataFrame:
     """The whole chain from the history as one lazy plan."""
     fis = reservations_fiscaal(his, as_of, horizon)
-    mul = reservations_mulder(his, as_of, horizon)
-    return union_reservations(fis, reservations_mulder_clean(mul, fis))
+    return union_reservations(fis, mulder_clean_layer(his, fis, as_of, horizon))
 
 
 def clamped_fiscaal_days(his: DataFrame, as_of: dt.date, horizon: str = "5 days") -> DataFrame:

@@ -79,7 +79,8 @@ def spots_on_day(spots: DataFrame, reservations: DataFrame, day: dt.date) -> Dat
 
     A left join could not split a spot with very many reservations over tasks. The spots with
     reservations therefore come from an inner join, which adaptive execution can split on
-    either side, and the others from an anti join with the distinct spots reserved.
+    either side, and the others from an anti join with the distinct spots reserved. The day is
+    read for each of the two joins, so ``reservations`` should be a stored table.
     """
     todays = reservations.filter(F.col("reserverings_datum") == F.lit(day).cast("date")).select(
         "parkeer_id_md5", "begin_datum", "eind_datum", F.col("soort").alias("re_soort"), "opmerkingen",

@@ -9,6 +9,7 @@ from stallwise.plans.reservations import (
     RESERVATION_COLUMNS,
     clamped_fiscaal_days,
     latest_approved_mulder,
+    mulder_clean_layer,
     reservations_fiscaal,
     reservations_mulder,
     reservations_mulder_clean,
@@ -202,3 +203,37 @@ def test_first_per_key_nulls_first(spark):
     rows = first_per_key(d, ["k"]).orderBy("k").collect()
     assert [tuple(r) for r in rows] == [("a", 1, None), ("b", None, "y")]
     assert first_per_key(d.select("k"), ["k"]).count() == 2
+
+
+def test_rules_are_told_apart_before_they_become_days(spark):
+    pick = random.Random(5)
+    rows = []
+    for n in range(120):
+        flags = {f: pick.random() < 0.3 for f in FLAGS}
+        rows.append({"parkeer_id": f"s{n % 20}", "opmerking": pick.choice([None, "", "x"]), "begintijd1": f"{8 + n % 5}:00", "eindtijd1": f"{14 + n % 7}:00", **flags})
+    rows += [measure(f"s{n}", march(n + 1), march(n + 3), "10:00", "16:00") for n in range(0, 20, 3)]
+    rows += [{"parkeer_id": spot, "begintijd1": "9:00", "eindtijd1": "20:00"} for spot in (None, "")]
+    rows += [measure("", march(2), march(3), "10:00", "12:00"), measure(None, march(2), march(3), "10:00", "12:00")]
+    his = history(spark, *rows)
+    fis = reservations_fiscaal(his, march(1), "30 days")
+    direct = reservations_mulder_clean(reservations_mulder(his, march(1), "30 days"), fis)
+    early = mulder_clean_layer(his, fis, march(1), "30 days")
+    assert early.count() > 100
+    assert sorted(map(str, early.collect())) == sorted(map(str, direct.collect()))
+
+
+def test_a_long_horizon_plans_no_more_shuffles(spark):
+    his = history(spark, *({"parkeer_id": f"s{n}", "begintijd1": "9:00", "eindtijd1": "12:00"} for n in range(50)), measure("s3", march(1), march(2), "10:00", "11:00"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        written = []
+        for horizon in ("0 days", "364 days"):
+            clean = mulder_clean_layer(his, reservations_fiscaal(his, march(1), horizon), march(1), horizon)
+            rows = clean.count()
+            nodes = clean._jdf.queryExecution().executedPlan().toString()
+            assert "BroadcastHashJoin" not in nodes and rows
+            written.append((rows, nodes.count("Exchange hashpartitioning(")))
+        assert written[1][0] > 300 * written[0][0] and written[0][1] == written[1][1]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

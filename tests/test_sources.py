@@ -203,6 +203,8 @@ def test_whole_update(spark, tmp_path):
     seen = views(spark, store, day)
     assert seen["geo_spots"].count() == 17
     today = {r.id: r for r in seen["geo_spots_today"].collect()}
+    plan = seen["geo_spots_today"]._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(reserverings_datum" in plan
     assert len(today) == 17 and today["a1"].bord is None and today["a1"].soort == "MULDER" and today["a2"].soort == "FISCAAL"
     assert today["n1"].e_type_desc == "Specifieke voertuigcategorie" and today["n1"].day == day
     with pytest.raises(PySparkException):

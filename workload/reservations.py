@@ -18,10 +18,10 @@ from stallwise.operators.subtract import (
 from stallwise.plans.reservations import (
     clamped_fiscaal_days,
     latest_approved_mulder,
+    mulder_clean_layer,
     published_reservations,
     reservations_fiscaal,
     reservations_mulder,
-    reservations_mulder_clean,
     union_reservations,
 )
 from workload import oracle as o
@@ -113,7 +113,7 @@ QUERIES = {
     "d7_duplicate_keys": doubled_keys,
     "m2_reservations_fiscaal": lambda s, d: plain(_fis(s, d)),
     "m3_reservations_mulder": lambda s, d: plain(_mul(s, d)),
-    "m4_reservations_mulder_clean": lambda s, d: _clean(reservations_mulder_clean(_mul(s, d), _fis(s, d))),
+    "m4_reservations_mulder_clean": lambda s, d: _clean(mulder_clean_layer(history(s, d), _fis(s, d), AS_OF, HORIZON)),
     "m6_publish_reservations": lambda s, d: plain(published_reservations(history(s, d), AS_OF, HORIZON)),
     "g2_union_reservations": union_summary,
     "n1_clamped_fiscaal_days": lambda s, d: plain(clamped_fiscaal_days(history(s, d), AS_OF, HORIZON)),

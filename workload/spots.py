@@ -25,6 +25,8 @@ from stallwise.plans.spots import (
     spots_on_day,
     with_sign_title,
 )
+from stallwise.sources.publish import publish, read_published
+from stallwise.sources.scratch import materialized, scratch_dir
 from stallwise.sources.sign_types import e_types
 from workload import oracle as o
 from workload.fixtures import (
@@ -55,8 +57,15 @@ def view(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def todays(spark: SparkSession, sf: str) -> DataFrame:
-    """Reservations of the day itself: days do not depend on each other, so no other is made."""
-    return published_reservations(history(spark, sf), TODAY, "0 days")
+    """Reservations of the day itself, written once: days do not depend on each other, so no other is made."""
+    return materialized(published_reservations(history(spark, sf), TODAY, "0 days"))
+
+
+def stored(spark: SparkSession, sf: str) -> DataFrame:
+    """The reservations of all days as a published table, a folder for each day."""
+    path = scratch_dir(spark)
+    publish(published_reservations(history(spark, sf), AS_OF, HORIZON), path, ["reserverings_datum"])
+    return read_published(spark, path)
 
 
 def measured(d: DataFrame, geom: str) -> DataFrame:
@@ -91,7 +100,7 @@ def sign_title_query(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def spots_on_day_query(spark: SparkSession, sf: str) -> DataFrame:
-    d = spots_on_day(published(spark, sf), todays(spark, sf), TODAY)
+    d = spots_on_day(published(spark, sf), stored(spark, sf), TODAY)
     return plain(d.select("parkeer_id", "re_soort", "opmerkingen", "begin_datum", "eind_datum", "day"))
 
 
