@@ -20,6 +20,8 @@ from stallwise.sources.scratch import materialized
 
 #: Most labelled rows that the trees are grown on; more are cut to those of the least id hashes.
 TRAINING_ROWS = 20_000
+#: The bound on hashes is set so that this many times the wanted rows are expected below it.
+SLACK = 1.1
 TREES, DEPTH, RATE, BINS, LEAST_HESSIAN, RIDGE = 80, 3, 0.15, 48, 4.0, 1.0
 #: More of these never makes a document better.
 FALLING = ("symbol_rate", "dup_line_rate", "repeat_rate", "shout_rate", "bar_rate", "echo_rate")
@@ -120,10 +122,21 @@ def _columns(nodes: list[list[float]], first: int):
     yield list(v)
 
 
+def sampled(known: DataFrame, limit: int) -> DataFrame:
+    """(label, features) of at most ``limit`` rows of the least id hashes.
+
+    Hashes are uniform, so those beyond a bound set by the number of rows are left behind first: all tasks
+    together offer little more than ``limit`` rows to the driver, however many they are.
+    """
+    share = SLACK * limit / max(1, known.count())
+    place = F.xxhash64("doc_id")
+    near = known.filter(place < int(share * 2**64) - 2**63) if share < 1 else known
+    return near.orderBy(place, "doc_id", "label").limit(limit).select("label", "features")
+
+
 def trained(known: DataFrame, limit: int = TRAINING_ROWS) -> Trees | None:
     """Trees from at most ``limit`` labelled rows, those of the least hashes of their ids."""
-    sample = known.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(limit).select("label", "features")
-    rows = sample.collect()
+    rows = sampled(known, limit).collect()
     if not rows:
         return None
     return grown(np.array([r["features"] for r in rows], float), np.array([r["label"] for r in rows], float))

@@ -266,6 +266,15 @@ def test_quality_odd_rows(spark, odd, empty, labels):
     assert rules_gbt.quality_rules(empty, none).count() == 0
 
 
+def test_training_rows_are_those_of_the_least_hashes(spark):
+    known = spark.range(5000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("label"), F.array(F.col("id").cast("double")).alias("features"))
+    ids = [r["doc_id"] for r in known.orderBy(F.xxhash64("doc_id")).collect()]
+    for limit in (500, 4990, 5000, 9000):
+        rows = rules_gbt.sampled(known, limit).collect()
+        assert [r["features"][0] for r in rows] == ids[:limit]
+    assert rules_gbt.sampled(known.limit(0), 10).count() == 0
+
+
 def test_trees_are_monotonic():
     rng = np.random.default_rng(4)
     x = rng.random((800, len(stats.FEATURES)))
