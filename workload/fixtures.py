@@ -67,6 +67,15 @@ SELECT c_custkey AS pid, 52.0 + CAST(c_custkey % 1000 AS INT) / 2000.0 AS lat, 4
 FROM {customer}
 """
 
+REQUESTS_SQL = """
+SELECT c_custkey AS pid,
+ CASE WHEN c_custkey % 4 IN (0, 2) THEN concat('52.35', 300 + (c_custkey * 37) % 400) END AS lat,
+ CASE WHEN c_custkey % 4 IN (0, 2) THEN concat('4.87', 300 + (c_custkey * 91) % 700) END AS lon,
+ CASE WHEN c_custkey % 8 = 3 THEN '0' WHEN c_custkey % 4 IN (1, 2) THEN concat(120000 + (c_custkey * 37) % 500, '.5') END AS x,
+ CASE WHEN c_custkey % 4 > 0 AND c_custkey % 16 <> 7 THEN concat(485000 + (c_custkey * 91) % 400, '.5') END AS y
+FROM {customer}
+"""
+
 RECTANGLES_SQL = """
 SELECT l_returnflag AS straatnaam, CAST(l_partkey % 300 AS INT) AS x0, CAST(l_suppkey % 200 AS INT) AS y0, 2 AS w, 1 AS h
 FROM {lineitem}

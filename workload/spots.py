@@ -9,13 +9,15 @@ from stallwise.functions.rd import LAT0, LON0, R, S, X0, Y0, request_point
 from stallwise.operators.checks import check_layers, orphan_reservations, standard_expectations
 from stallwise.operators.listing import (
     filter_spots,
+    get_spot,
     list_spots,
     page_count,
     select_ids,
+    simple_listing,
     spot_listing,
 )
-from stallwise.operators.overlay import dissolve_parts, group_counts, make_valid
-from stallwise.operators.spatial import spots_at_points
+from stallwise.operators.overlay import dissolve_parts, dissolve_selection, group_counts, make_valid
+from stallwise.operators.spatial import geosearch, spots_at_points
 from stallwise.plans.reservations import published_reservations, reservations_fiscaal
 from stallwise.plans.spots import (
     build_spots,
@@ -34,6 +36,7 @@ from workload.fixtures import (
     HORIZON,
     POINTS_SQL,
     RECTANGLES_SQL,
+    REQUESTS_SQL,
     TODAY,
     WGS84_SQL,
     derive,
@@ -48,6 +51,9 @@ from workload.fixtures import (
 from workload.reservations import plain
 
 
+SELECTED_IDS = "P3,P14, P15,P92,,P0"
+
+
 def published(spark: SparkSession, sf: str) -> DataFrame:
     return publish_spots(model_spots(spark, sf))
 
@@ -143,6 +149,18 @@ def select_ids_query(spark: SparkSession, sf: str) -> DataFrame:
     return select_ids(view(spark, sf), ids).select("id", "geo_id")
 
 
+def geoselection_query(spark: SparkSession, sf: str) -> DataFrame:
+    """A selection by street and one by ids; untrimmed, blank and unknown ids choose nothing."""
+    spots = view(spark, sf)
+
+    def chosen(by: str, **selection: str) -> DataFrame:
+        d = dissolve_selection(spots, **selection)
+        shape = F.col("singleshape")
+        return d.select(F.lit(by).alias("keuze"), "aantal", F.size(shape).alias("delen"), F.round(area(shape), 3).alias("oppervlak"))
+
+    return chosen("straat", street="straat 3").unionByName(chosen("ids", ids=SELECTED_IDS))
+
+
 def spot_listing_query(spark: SparkSession, sf: str) -> DataFrame:
     return measured(spot_listing(view(spark, sf)), "geometrie")
 
@@ -178,6 +196,11 @@ QUERIES = {
     "b10_filter_spots": filter_query,
     "b11_select_ids": select_ids_query,
     "b15_spot_listing": spot_listing_query,
+    "b15_simple_listing": lambda s, d: measured(simple_listing(view(s, d)), "geometrie"),
+    "b11_select_ids_text": lambda s, d: select_ids(view(s, d), SELECTED_IDS).select("id", "geo_id"),
+    "f2_get_spot": lambda s, d: measured(get_spot(view(s, d), "P7"), "geometrie"),
+    "geosearch": lambda s, d: geosearch(derive(s, d, REQUESTS_SQL), view(s, d)),
+    "geoselection": geoselection_query,
     "d8_page_count": lambda s, d: page_count(view(s, d), {"soort": "FISCAAL"}),
     "c9_orphan_reservations": orphans_query,
     "check_layers": check_layers_query,
@@ -199,6 +222,7 @@ _area = "CAST(CASE shape WHEN 0 THEN 0 WHEN 1 THEN 0 WHEN 5 THEN 0 WHEN 3 THEN w
 _terms = lambda start, terms: f"{start!r}::DOUBLE" + "".join(
     f" + ({c!r}::DOUBLE)" + " * p" * i + " * l" * j for (i, j), c in terms.items()
 )
+_ids = ", ".join(f"'{i}'" for i in SELECTED_IDS.split(","))
 _attrs = "stadsdeel, buurtcode, straatnaam, soort, type, aantal, e_type, bord"
 _attrs_order = ", ".join(f"{c} NULLS FIRST" for c in _attrs.split(", "))
 _on_day = """FROM spots LEFT JOIN (SELECT parkeer_id AS rid, soort AS re_soort, opm, bd, ed, datum FROM res WHERE datum = DATE '1998-01-06') ON rid = parkeer_id"""
@@ -233,6 +257,17 @@ SELECT straatnaam, aantal, oppervlak FROM (SELECT straatnaam, count(*) AS aantal
     "b11_select_ids": o.with_(VIEWED, "SELECT id, geo_id FROM view WHERE id IN (SELECT concat('P', c_custkey) FROM customer)"),
     "b15_spot_listing": o.with_(VIEWED, """SELECT concat('Parkeervak ', id, ' te ', coalesce(straatnaam, 'None')) AS _display, id, buurtcode,
  straatnaam, aantal, type, e_type, e_type_desc, bord, oppervlak FROM view"""),
+    "b15_simple_listing": o.with_(VIEWED, "SELECT id, oppervlak FROM view"),
+    "b11_select_ids_text": o.with_(VIEWED, f"SELECT id, geo_id FROM view WHERE id IN ({_ids})"),
+    "f2_get_spot": o.with_(VIEWED, "SELECT * FROM view WHERE id = 'P7'"),
+    "geosearch": o.with_([o.CTE_SPOTS, f"requests AS ({duck(REQUESTS_SQL)})", f"""pts AS (
+ SELECT pid, {_terms(X0, R)} AS px, {_terms(Y0, S)} AS py
+ FROM (SELECT pid, (CAST(lat AS DOUBLE) - {LAT0}) * 0.36::DOUBLE AS p, (CAST(lon AS DOUBLE) - {LON0}) * 0.36::DOUBLE AS l
+  FROM requests WHERE lat IS NOT NULL AND lon IS NOT NULL)
+ UNION ALL SELECT pid, CAST(x AS DOUBLE), CAST(y AS DOUBLE) FROM requests WHERE lat IS NULL AND x <> '0')"""], """SELECT pid, min(parkeer_id) AS id
+ FROM pts JOIN spots ON px > x0 AND px < x0 + w AND py > y0 AND py < y0 + h GROUP BY pid"""),
+    "geoselection": o.with_(VIEWED, f"""SELECT 'straat' AS keuze, count(*) AS aantal, CAST(count(*) AS INT) AS delen, sum(oppervlak) AS oppervlak
+ FROM view WHERE straatnaam = 'straat 3' UNION ALL SELECT 'ids', count(*), CAST(count(*) AS INT), sum(oppervlak) FROM view WHERE id IN ({_ids})"""),
     "d8_page_count": o.with_(VIEWED, "SELECT count(*) AS count FROM view WHERE soort = 'FISCAAL'"),
     "c9_orphan_reservations": o.with_([*o.RES_LAYERS, o.CTE_SPOTS], """SELECT parkeer_id AS parkeer_id_md5, count(*) AS aantal FROM res
  WHERE parkeer_id NOT IN (SELECT parkeer_id FROM spots WHERE e_type IS NOT NULL) GROUP BY parkeer_id"""),
