@@ -6,7 +6,9 @@ text order, so texts share a sketch if they share content in the same order. Tex
 common form a bucket. In a bucket the members are compared with a few hubs only: a bucket of thousands
 of copies gives a number of pairs in proportion to its members. First hubs are the members that share the
 most, as the text that the others are copies of does. Linked texts are contracted to one label at once,
-so later rounds, with other hubs, compare only what is still apart.
+so later rounds, with other hubs, compare only what is still apart. What shares a bucket and is apart after
+the hub rounds is compared exactly: texts of that similarity share one of their rarest shingles, by which
+they are joined.
 
 Two texts are linked if the Jaccard similarity of their shingle sets is 0.8 or more and a banded
 alignment of their words finds a common subsequence of as large a part of both.
@@ -15,6 +17,7 @@ alignment of their words finds a common subsequence of as large a part of both.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +33,8 @@ SKETCHES, SAMPLED = 20, 3
 ROUNDS = ((4, 1, True), (SKETCHES, 4, True), (SKETCHES, 4, False))
 #: Bits of the filter that keeps texts without company out of the shuffle: 2 MB at any size.
 FILTER_BITS = 1 << 24
+#: Cells in which shingles are counted to order them by rarity; texts that share a cell only blur the order.
+CELLS = 1 << 20
 CACHED = 200_000
 _SEEDS = np.random.default_rng(11).integers(1, 2**63, (2, SKETCHES, 1), dtype=np.uint64) | np.uint64(1)
 
@@ -238,6 +243,94 @@ def candidate_pairs(members: DataFrame, labels: DataFrame, sketches_used: int, h
     return pairs.select(F.least("hub", "key").alias("hub"), F.greatest("hub", "key").alias("key")).distinct()
 
 
+def still_open(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, label) of the texts in a bucket that holds several labels."""
+    m = members.select("bucket", "key").join(labels, "key")
+    several = m.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi").select("bucket")
+    return m.join(several, "bucket").select("key", "label").distinct()
+
+
+def cell_counts(texts: DataFrame) -> np.ndarray:
+    """How many of the ``texts`` (words) have a shingle in each of the CELLS; CELLS numbers reach the driver at any size."""
+
+    def count(batches):
+        out = np.zeros(CELLS, np.int64)
+        for batch in batches:
+            for words in batch.column(0):
+                shingles = np.unique(kmers(np.frombuffer(words.as_py(), np.uint32).astype(np.uint64)))
+                out += np.bincount((shingles % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
+        cells = np.flatnonzero(out)
+        for at in range(0, len(cells), 1 << 16):
+            part = cells[at : at + (1 << 16)]
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(out[part])], names=["cell", "n"])
+
+    found = texts.select("words").mapInArrow(count, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(CELLS, np.int64)
+    out[found.column("cell").to_numpy()] = found.column("n").to_numpy()
+    return out
+
+
+def prefix_lengths(n: int) -> tuple[int, int]:
+    """How many of its n rarest shingles a text needs to meet all longer, and all shorter, texts of the similarity."""
+    return n - int(np.ceil(2 * SIMILARITY / (1 + SIMILARITY) * n - 1e-6)) + 1, n - int(np.ceil(SIMILARITY * n - 1e-6)) + 1
+
+
+def prefixes(texts: DataFrame) -> DataFrame:
+    """(key, label, n, shingle, at) of the rarest distinct shingles of each text (key, label, words), at by rarity.
+
+    Any order that is the same for all texts gives all pairs; that by rarity gives the fewest false ones.
+    """
+    counts = texts.sparkSession.sparkContext.broadcast(cell_counts(texts))
+
+    def make():
+        def each(words):
+            for w in words:
+                shingles = np.unique(kmers(np.frombuffer(w, np.uint32).astype(np.uint64)))
+                order = np.lexsort((shingles, counts.value[(shingles % np.uint64(CELLS)).astype(np.int64)]))
+                yield len(shingles), shingles[order[: prefix_lengths(len(shingles))[1]]].view(np.int64).tolist()
+
+        return each
+
+    found = with_python(texts, ["words"], "n int, rare array<bigint>", make, drop=["words"])
+    return found.select("key", "label", "n", F.posexplode("rare").alias("at", "shingle"))
+
+
+def rare_pairs(texts: DataFrame) -> DataFrame:
+    """Distinct (hub, key) of ``texts`` (key, label, words) with different labels: all that can have the similarity.
+
+    Of two texts the shorter is found by its shorter prefix. At the first shingle that both have, what
+    follows must suffice for the similarity. A shingle's texts of its most frequent label are not
+    paired among themselves, so copies that are linked already add no pairs.
+    """
+    rows = materialized(prefixes(texts))
+    per = rows.groupBy("shingle", "label").agg(F.count(F.lit(1)).alias("c"))
+    most = per.groupBy("shingle").agg(F.max(F.struct("c", "label")).alias("m"), F.count(F.lit(1)).alias("labels"))
+    rows = materialized(rows.join(most.filter("labels > 1").select("shingle", F.col("m.label").alias("main")), "shingle"))
+    short = F.col("at") < F.col("n") - F.ceil(F.lit(2 * SIMILARITY / (1 + SIMILARITY)) * F.col("n") - 1e-6) + 1
+    names = {c: f"o_{c}" for c in ("key", "label", "n", "at")}
+    found = None
+    main, other = F.col("label") == F.col("main"), F.col("label") != F.col("main")
+    needed = F.lit(SIMILARITY / (1 + SIMILARITY)) * (F.col("n") + F.col("o_n")) - 1e-6
+    follow = F.least(F.col("n") - F.col("at"), F.col("o_n") - F.col("o_at"))
+    fits = (F.col("n") >= SIMILARITY * F.col("o_n") - 1e-6) & (follow >= needed) & (F.col("label") != F.col("o_label"))
+    fits &= (F.col("n") < F.col("o_n")) | ((F.col("n") == F.col("o_n")) & (F.col("key") < F.col("o_key")))
+    for one, two in ((other, F.lit(True)), (main, other)):
+        longer = rows.filter(two).drop("main").withColumnsRenamed(names).withColumnRenamed("shingle", "o_shingle")
+        part = rows.filter(short & one).join(longer, (F.col("shingle") == F.col("o_shingle")) & fits)
+        found = part if found is None else found.unionByName(part)
+    return found.select(F.least("key", "o_key").alias("hub"), F.greatest("key", "o_key").alias("key")).distinct()
+
+
+def merged(labels: DataFrame, pairs: DataFrame, words: DataFrame) -> DataFrame:
+    """``labels`` (key, label) after the ``pairs`` that the alignment confirms are linked."""
+    found = materialized(verified(pairs, words))
+    edges = found.join(labels.select(F.col("key").alias("hub"), F.col("label").alias("u")), "hub")
+    edges = edges.join(labels.select("key", F.col("label").alias("v")), "key").filter("u != v").select("u", "v").distinct()
+    roots = contracted(materialized(edges))
+    moved = labels.join(roots.withColumnRenamed("v", "label"), "label", "left")
+    return materialized(moved.select("key", F.coalesce("root", "label").alias("label")))
+
+
 def near_classes(docs: DataFrame) -> DataFrame:
     """doc_id, digest (of the text), key and label of each row; rows of one class have one label."""
     rows = materialized(sketched(docs))
@@ -256,12 +349,10 @@ def near_classes(docs: DataFrame) -> DataFrame:
         pairs = candidate_pairs(members, labels, used, hubs, central, 97 * turn)
         pairs = materialized(pairs if tried is None else pairs.join(tried, ["hub", "key"], "left_anti"))
         tried = pairs if tried is None else tried.unionByName(pairs)
-        found = materialized(verified(pairs, words))
-        edges = found.join(labels.select(F.col("key").alias("hub"), F.col("label").alias("u")), "hub")
-        edges = edges.join(labels.select("key", F.col("label").alias("v")), "key").filter("u != v").select("u", "v").distinct()
-        roots = contracted(materialized(edges))
-        moved = labels.join(roots.withColumnRenamed("v", "label"), "label", "left")
-        labels = materialized(moved.select("key", F.coalesce("root", "label").alias("label")))
+        labels = merged(labels, pairs, words)
+    apart = materialized(still_open(members, labels).join(words, "key"))
+    pairs = rare_pairs(apart)
+    labels = merged(labels, materialized(pairs.join(tried, ["hub", "key"], "left_anti")), words)
     out = rows.select("doc_id", F.col("__digest").alias("digest"), F.col("__key").alias("key"))
     return out.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
 

@@ -169,6 +169,39 @@ def test_near_classes_match_brute_force(spark):
     assert all(k == min(v) for k, v in got.items())
 
 
+def linked_classes(rows):
+    """Classes by the comparison of all pairs, without any filter."""
+    seen = {}
+    words = [np.array([seen.setdefault(w, len(seen) + 1) for w in order_minhash.words_of(t)], np.uint32) for _, t in rows]
+    label = list(range(len(rows)))
+    for i in range(len(rows)):
+        for k in range(i):
+            if label[i] != label[k] and order_minhash.linked(words[i], words[k]):
+                label = [label[k] if x == label[i] else x for x in label]
+    classes = {}
+    for k, (d, _) in enumerate(rows):
+        classes.setdefault(label[k], set()).add(d)
+    return {frozenset(v) for v in classes.values()}
+
+
+def classes_found(spark, rows):
+    got = {}
+    for r in order_minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got.setdefault(r["class_id"], set()).add(r["doc_id"])
+    return {frozenset(v) for v in got.values()}
+
+
+def test_pairs_of_a_template_farm(spark):
+    rows = []
+    for pair in range(50):
+        for k in range(2):
+            words = [f"t{i}" for i in range(400)] + [f"p{pair}_{i}" for i in range(8)] + [f"own{pair}_{k}_{i}" for i in range(42)]
+            rows.append((len(rows), " ".join(words)))
+    want = linked_classes(rows)
+    assert want == {frozenset({2 * pair, 2 * pair + 1}) for pair in range(50)}
+    assert classes_found(spark, rows) == want
+
+
 def test_order_matters():
     words = np.arange(1, 400, dtype=np.uint64) * np.uint64(7919)
     swapped = np.concatenate([words[200:], words[:200]])
