@@ -23,6 +23,9 @@ from stallwise.llm.arrow import free_name, with_python
 KINDS = ("email", "ip", "date", "phone", "card")
 ROUNDS = 10
 FIRST_DAY, LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
+#: Days after the twelfth: with slashes or dots and the month first, only these cannot be read day first.
+LATE_DAYS = [k for k in range(FIRST_DAY, LAST_DAY + 1) if datetime.date.fromordinal(k).day > 12]
+_LATE_PLACE = {day: k for k, day in enumerate(LATE_DAYS)}
 _HOST = re.compile(r"(?:[\w-]+\.)+[^\W\d_]{2,}")
 _IP = re.compile(r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\w)", re.A)
 _DATE = re.compile(r"(?<![\w./-])(?:(\d{4})-(\d{2})-(\d{2})|(\d{1,2})([./])(\d{1,2})\5(\d{4}))(?!\w)", re.A)
@@ -98,7 +101,10 @@ def ip(found: str, key: bytes, back: bool = False) -> str | None:
 
 
 def date(found: str, key: bytes, back: bool = False) -> str | None:
-    """Dates of 1900 to 2099; with slashes or dots the day comes first where that is a date, else the month."""
+    """Dates of 1900 to 2099; with slashes or dots the day comes first where that is a date, else the month.
+
+    Spellings with the month first are permuted among themselves, so that no image reads as one with the day first.
+    """
     m = _DATE.fullmatch(found)
     tries = [(m[1], m[2], m[3])] if m[1] else [(m[7], m[6], m[4])] + ([(m[7], m[4], m[6])] if int(m[4]) <= 12 else [])
     for turn, (year, month, day) in enumerate(tries):
@@ -108,8 +114,11 @@ def date(found: str, key: bytes, back: bool = False) -> str | None:
             continue
         if not FIRST_DAY <= ordinal <= LAST_DAY:
             return None
-        # day-first and month-first spellings are permuted apart, each within itself
-        new = datetime.date.fromordinal(FIRST_DAY + permuted(ordinal - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, key, "date", back))
+        if turn == 0:
+            image = FIRST_DAY + permuted(ordinal - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, key, "date", back)
+        else:
+            image = LATE_DAYS[permuted(_LATE_PLACE[ordinal], len(LATE_DAYS), key, "month-first date", back)]
+        new = datetime.date.fromordinal(image)
         if m[1]:
             return new.isoformat()
         first, second = (new.day, new.month) if turn == 0 else (new.month, new.day)

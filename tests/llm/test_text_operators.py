@@ -1,5 +1,6 @@
 """The text operators against brute force, round trips and held-out labels."""
 
+import datetime
 import hashlib
 import html
 import random
@@ -102,6 +103,18 @@ def test_pseudonyms_go_back_over_all_documents(docs):
     assert there.agg(F.sum("n_email"), F.sum("n_card")).collect()[0][0] > 0
 
 
+def test_month_first_dates_stay_apart_and_go_back():
+    first, last = datetime.date(1900, 1, 1), datetime.date(2099, 12, 31)
+    dates = [first + datetime.timedelta(k) for k in range((last - first).days + 1)]
+    spelled = [f"{d:%m/%d}/{d.year}" for d in dates if d.day > 12]
+    images = [pii_feistel.date(x, b"k") for x in spelled]
+    assert len(spelled) == 44249 and sorted(images) == sorted(spelled)
+    assert [pii_feistel.date(x, b"k", True) for x in images] == spelled
+    some = [f"{d:%d/%m}/{d.year}" for d in dates[::7]]
+    moved = [pii_feistel.date(x, b"k") for x in some]
+    assert not set(moved) & set(images) and [pii_feistel.date(x, b"k", True) for x in moved] == some
+
+
 def test_pseudonyms_odd_rows(odd, empty):
     rows = pii_feistel.pseudonyms(odd, b"k").collect()
     assert [r["text"] for r in rows] == [r[1] for r in ODD] and rows[0]["label"] is None
