@@ -132,7 +132,7 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def sketched(docs: DataFrame) -> DataFrame:
-    """doc_id, __digest of the text, __key (equal for texts of equal words), __n shingles, __sketches."""
+    """doc_id, __digest of the text, __key (equal for texts of equal words), __n distinct shingles, __sketches."""
 
     def make():
         hashes = _Hashes()
@@ -143,7 +143,7 @@ def sketched(docs: DataFrame) -> DataFrame:
                 if len(hashes) > CACHED:
                     hashes.clear()
                 shingles = kmers(np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words)))
-                yield xxhash.xxh3_128_digest(" ".join(words)), len(shingles), sketches(shingles)
+                yield xxhash.xxh3_128_digest(" ".join(words)), len(np.unique(shingles)), sketches(shingles)
 
         return each
 
@@ -232,7 +232,7 @@ def contracted(edges: DataFrame) -> DataFrame:
 
 
 def candidate_pairs(members: DataFrame, labels: DataFrame, sketches_used: int, hubs: int, central: bool, salt: int) -> DataFrame:
-    """Distinct (hub, key) that share a bucket, have different labels and lengths that allow the similarity."""
+    """Distinct (hub, key) that share a bucket, have different labels and numbers of distinct shingles that allow the similarity."""
     open_ = members.filter(F.col("j") < sketches_used).join(labels, "key")
     order: Column = -F.col("company") if central else F.xxhash64("key", F.lit(salt))
     share = F.pmod(F.xxhash64("key", F.lit(salt + 1)), F.lit(hubs)) if hubs > 1 else F.lit(0).cast("long")

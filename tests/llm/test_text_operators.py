@@ -215,6 +215,17 @@ def test_pairs_of_a_template_farm(spark):
     assert classes_found(spark, rows) == want
 
 
+def test_repeated_lines_do_not_part_copies(spark):
+    rows = []
+    for k in range(3):
+        own, line = ([f"{c}{k}_{i}" for i in range(n)] for c, n in (("w", 50), ("l", 10)))
+        rows += [(2 * k, " ".join(own + line * 5)), (2 * k + 1, " ".join(own + line * 9))]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    n = {r["doc_id"]: r["__n"] for r in order_minhash.sketched(d).collect()}
+    assert all(n[2 * k] == n[2 * k + 1] == 60 for k in range(3))
+    assert classes_found(spark, rows) == linked_classes(rows) == {frozenset({2 * k, 2 * k + 1}) for k in range(3)}
+
+
 def test_order_matters():
     words = np.arange(1, 400, dtype=np.uint64) * np.uint64(7919)
     swapped = np.concatenate([words[200:], words[:200]])
