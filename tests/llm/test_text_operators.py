@@ -463,6 +463,20 @@ def test_pages_without_articles_lose_shared_lines(spark):
     assert html_diff.main_text(d).count() == len(rows) and html_diff.main_text(d.limit(0)).count() == 0
 
 
+def test_loose_marks_do_not_drop_articles():
+    def content(page):
+        return [t for t, kind in html_diff.lines_of(page) if kind == html_diff.CONTENT]
+
+    assert content('<div class="content with-sidebar"><article>a</article><p>b</div>') == ["a"]
+    assert content('<article class="has-sidebar">a<div class="share">b</div></article>') == ["a"]
+    assert content('<article style="overflow:hidden" data-class="menu">a<a href="/hidden-valley">b</a></article>') == ["ab"]
+    assert content("<article hidden>a</article><nav><article>b</article></nav><main role=main>c<p hidden=''>d</main>") == ["c"]
+    assert content('<article><p class="ad">x<p>a<p id=promo>y<div>b</div></article>') == ["a", "b"]
+    assert content('<main><ul><li class="ad">x<li>a<ul><li class=ad>y</ul>b</ul><dl><dt class=ad>x<dd>c</dl></main>') == ["a", "b", "c"]
+    table = "<main><table><tr class=ad><td>x<tr><td class=ad>y<td>a<table><tr class=ad><td>z</table>b</table></main>"
+    assert content(table) == ["a", "b"]
+
+
 def test_longest_common_lines():
     rng = random.Random(1)
     for _ in range(60):
