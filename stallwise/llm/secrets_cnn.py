@@ -11,7 +11,7 @@ set to keep the wanted recall; candidates that pass and touch no finding of the
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,7 +31,7 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 _DIGIT = re.compile(r"[0-9]")
 #: Most labelled candidates that the network is trained and calibrated on, per label.
 TRAINING_ROWS = 3000
-#: What a candidate shows of itself (its first and last characters) and of each side.
+#: What a window shows of a candidate and of each side; longer candidates are read in overlapping windows.
 VALUE, SIDE = 40, 14
 RECALL, LEAST_PROBABILITY, PULL = 0.98, 0.5, 0.01
 FILTERS, WIDTH, CHANNELS, EPOCHS, BATCH, STEP = 24, 5, 8, 6, 64, 0.004
@@ -76,9 +76,16 @@ def codes(text: str) -> np.ndarray:
     return np.where(points < 256, CLASS[np.minimum(points, 255)], 9)
 
 
+def pieces(start: int, end: int) -> list[tuple[int, int]]:
+    """A candidate in parts of VALUE characters at most, each half over the next, that leave no character out."""
+    if end - start <= VALUE:
+        return [(start, end)]
+    return [(a, a + VALUE) for a in [*range(start, end - VALUE, VALUE // 2), end - VALUE]]
+
+
 def window(text: str, start: int, end: int) -> np.ndarray:
-    """Classes of the characters before, in and after a candidate; short parts are padded, and what stands around has symbols of its own."""
-    value = text[start:end] if end - start <= VALUE else text[start : start + VALUE // 2] + text[end - VALUE // 2 : end]
+    """Classes of the characters before, in and after a piece; short parts are padded, and what stands around has symbols of its own."""
+    value = text[start:end]
     out = np.full(2 * SIDE + VALUE, PAD)
     before, inside, after = codes(text[max(0, start - SIDE) : start]), codes(value), codes(text[end : end + SIDE])
     out[SIDE - len(before) : SIDE] = before + SYMBOLS
@@ -189,8 +196,20 @@ def calibrated(net: Network, x: np.ndarray, y: np.ndarray) -> Network:
     return net
 
 
+def piece_label(a: int, b: int, c: int, d: int, found: list[Span]) -> int | None:
+    """1 if the piece c to d of the candidate a to b shows a finding, 0 if it touches none, None if it shows too little of one."""
+    label = 0
+    for s, e, _ in found:
+        shown = min(d, e) - max(c, s)
+        if shown > 0:
+            if shown >= min(min(b, e) - max(a, s), VALUE // 2):
+                return 1
+            label = None
+    return label
+
+
 def labelled_candidates(docs: DataFrame) -> DataFrame:
-    """(label, window) of every distinct window; label 1: it lies in a finding of the rules.
+    """(label, window) of every distinct window; label 1: it holds a finding of the rules, or half a window of it.
 
     For findings that are not candidates themselves, the value that they hold is the candidate.
     """
@@ -201,8 +220,10 @@ def labelled_candidates(docs: DataFrame) -> DataFrame:
                 found = base_spans(t or "")
                 rows = set()
                 for a, b in candidates(t or ""):
-                    inside = any(s < b and a < e for s, e, _ in found)
-                    rows.add((int(inside), bytes(window(t, a, b).astype(np.uint8))))
+                    for c, d in pieces(a, b):
+                        label = piece_label(a, b, c, d, found)
+                        if label is not None:
+                            rows.add((label, bytes(window(t, c, d).astype(np.uint8))))
                 yield ([{"label": label, "window": w} for label, w in sorted(rows)],)
 
         return each
@@ -232,6 +253,17 @@ def trained(docs: DataFrame, limit: int = TRAINING_ROWS) -> Network | None:
     return calibrated(net, x[aside], y[aside]) if aside.any() else calibrated(net, x, y)
 
 
+def best_scores(score: Callable[[np.ndarray], np.ndarray], runs: list[tuple[str, int, int]]) -> np.ndarray:
+    """The highest score of the windows of each candidate (text, start, end)."""
+    best = np.full(len(runs), -np.inf)
+    parts = [(k, c, d) for k, (_, a, b) in enumerate(runs) for c, d in pieces(a, b)]
+    for at in range(0, len(parts), 512):
+        part = parts[at : at + 512]
+        scores = score(np.stack([window(runs[k][0], c, d) for k, c, d in part]))
+        np.maximum.at(best, [k for k, _, _ in part], scores)
+    return best
+
+
 def all_spans(texts: list[str | None], net: Network | None) -> Iterator[list[Span]]:
     """Findings of the rules and, from the network, candidates that touch none of them, by start."""
     found = [base_spans(t or "") for t in texts]
@@ -239,11 +271,10 @@ def all_spans(texts: list[str | None], net: Network | None) -> Iterator[list[Spa
     if net:
         for k, t in enumerate(texts):
             open_ += [(k, a, b) for a, b in candidates(t or "") if not any(s < b and a < e for s, e, _ in found[k])]
-    for at in range(0, len(open_), 512):
-        part = open_[at : at + 512]
-        passed = net.probability(np.stack([window(texts[k], a, b) for k, a, b in part])) >= net.threshold
-        for (k, a, b), yes in zip(part, passed, strict=True):
-            if yes:
+    if net:
+        best = best_scores(net.probability, [(texts[k], a, b) for k, a, b in open_])
+        for (k, a, b), p in zip(open_, best, strict=True):
+            if p >= net.threshold:
                 found[k].append((a, b, 3))
     for spans in found:
         yield sorted(spans, key=lambda s: (s[0], s[2]))

@@ -545,6 +545,24 @@ def test_network_recall_and_gradient(spark):
     assert net.probability(np.stack(hex_)).mean() > net.probability(np.stack(numbers)).mean()
 
 
+def test_network_reads_the_whole_run():
+    class Equals:
+        """Finds runs that show it an equals sign."""
+
+        threshold = 0.5
+
+        def probability(self, x):
+            return (x[:, secrets_cnn.SIDE : secrets_cnn.SIDE + secrets_cnn.VALUE] == secrets_cnn.CLASS[ord("=")]).any(axis=1).astype(float)
+
+    for at in range(130):
+        run = "g1" * 33 + "z2" * 32
+        texts = [f"see {run[:at]}={run[at + 1 :]} now", f"see {run} now"]
+        assert list(secrets_cnn.all_spans(texts, Equals())) == [[(4, 134, 3)], []]
+    for length in range(1, 200):
+        covered = {k for a, b in secrets_cnn.pieces(7, 7 + length) for k in range(a, b)}
+        assert covered == set(range(7, 7 + length))
+
+
 def test_secret_odd_rows(spark, odd, empty):
     rows = secrets_cnn.secret_digests(odd).collect()
     assert len(rows) == len(ODD) and all(r["spans"] == "" for r in rows)
