@@ -4,8 +4,9 @@ The rules give the findings that always stand. Every candidate, a long run of to
 digit in it, is also scored by a small convolutional network in numpy that sees the run and the
 characters around it. The network learns from the findings themselves: candidates inside a rule's
 finding against all others; for half of the training rows what stands around the
-value is blanked, so that the value alone must tell. Its scores are calibrated on rows left out of the training, where the threshold is
-set to keep the wanted recall; candidates that pass and touch no finding of the rules are added.
+value is blanked, so that the value alone must tell. Its scores are calibrated on rows left out of the training. The threshold
+keeps the wanted recall of all candidates in findings, and of those that were not trained on; their scores are counted
+over all texts. Candidates that pass and touch no finding of the rules are added.
 """
 
 from __future__ import annotations
@@ -33,7 +34,9 @@ _DIGIT = re.compile(r"[0-9]")
 TRAINING_ROWS = 3000
 #: What a window shows of a candidate and of each side; longer candidates are read in overlapping windows.
 VALUE, SIDE = 40, 14
-RECALL, LEAST_PROBABILITY, PULL = 0.98, 0.5, 0.01
+RECALL, PULL = 0.98, 0.01
+#: Logits are counted in steps of this part of 1, up to this size.
+STEPS, MOST = 256, 200
 FILTERS, WIDTH, CHANNELS, EPOCHS, BATCH, STEP = 24, 5, 8, 6, 64, 0.004
 _HEXISH = bytes(104 if chr(b) in "0123456789abcdef" else 32 for b in range(256))
 
@@ -105,7 +108,7 @@ class Network:
     last: np.ndarray
     scale: float = 1.0
     shift: float = 0.0
-    threshold: float = LEAST_PROBABILITY
+    threshold: float = 0.5
 
     def _convolved(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         e = self.embed[x]
@@ -119,7 +122,11 @@ class Network:
         return pooled @ self.out + self.last[0]
 
     def probability(self, x: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.scale * self.logits(x) + self.shift, -40, 40)))
+        return self.sure(self.logits(x))
+
+    def sure(self, z):
+        """The probability at a logit; low ones stay apart."""
+        return 1 / (1 + np.exp(-np.clip(self.scale * z + self.shift, -700, 40)))
 
 
 def learned(x: np.ndarray, y: np.ndarray, seed: int = 7) -> Network:
@@ -173,8 +180,7 @@ def learned(x: np.ndarray, y: np.ndarray, seed: int = 7) -> Network:
 def calibrated(net: Network, x: np.ndarray, y: np.ndarray) -> Network:
     """Fit scale and shift of the logits to rows left out, pulled towards 1 and 0, then the threshold.
 
-    The threshold keeps the wanted recall of findings left out and is as far above the others as that allows,
-    at a probability of ``LEAST_PROBABILITY`` at least.
+    The threshold keeps the wanted recall of the findings among these rows; ``recalling`` sets that of all.
     """
     z = net.logits(x)
     a, b = 1.0, 0.0
@@ -184,15 +190,14 @@ def calibrated(net: Network, x: np.ndarray, y: np.ndarray) -> Network:
         w = p * (1 - p) + 1e-6
         grad = np.array([((p - target) * z).mean() + PULL * (a - 1), (p - target).mean() + PULL * b])
         hess = np.array([[(w * z * z).mean() + PULL, (w * z).mean()], [(w * z).mean(), w.mean() + PULL]])
-        a, b = np.array([a, b]) - 0.5 * np.linalg.solve(hess, grad)
+        a, b = np.array([a, b]) - np.clip(0.5 * np.linalg.solve(hess, grad), -1, 1)  # long steps overshoot where all is sure
     net.scale, net.shift = float(max(a, 1e-3)), float(b)
     sure = np.sort(z[y == 1])
     wanted = sure[int((1 - RECALL) * len(sure))]
     below = z[(y == 0) & (z < wanted)]
     # between the least finding that must be found and the highest other below it
     middle = (wanted + below.max()) / 2 if len(below) else wanted
-    level = 1 / (1 + np.exp(-np.clip(net.scale * middle + net.shift, -40, 40)))
-    net.threshold = float(np.clip(level, LEAST_PROBABILITY, net.probability(x[y == 1]).max()))
+    net.threshold = float(min(net.sure(middle), net.probability(x[y == 1]).max()))
     return net
 
 
@@ -233,6 +238,36 @@ def labelled_candidates(docs: DataFrame) -> DataFrame:
     return found.select(F.explode("__rows").alias("r")).select("r.label", "r.window").distinct()
 
 
+def steps_of_findings(docs: DataFrame, net: Network, known: set[bytes]) -> np.ndarray:
+    """How many candidates in findings of the rules have their logit in each step: those with a window of ``known``, and others."""
+
+    def make():
+        def each(texts):
+            for t in texts:
+                t = t or ""
+                found = base_spans(t)
+                runs = [(t, a, b) for a, b in candidates(t) if any(s < b and a < e for s, e, _ in found)] if found else []
+                new = [not any(window(t, c, d).astype(np.uint8).tobytes() in known for c, d in pieces(a, b)) for _, a, b in runs]
+                steps = np.floor(np.clip(best_scores(net.logits, runs), -MOST, MOST) * STEPS).astype(int)
+                yield ([{"step": int(k), "new": n} for k, n in zip(steps, new, strict=True)],)
+
+        return each
+
+    d = docs.select(F.col("text").alias("__text"))
+    found = with_python(d, ["__text"], "__steps array<struct<step: int, new: boolean>>", make, drop=["__text"]).select(F.inline("__steps"))
+    out = np.zeros((2, 2 * MOST * STEPS + 1), np.int64)
+    for row in found.groupBy("step", "new").count().collect():
+        out[int(row["new"]), row["step"] + MOST * STEPS] = row["count"]
+    return out
+
+
+def recalling(net: Network, counts: np.ndarray) -> float:
+    """The probability of the highest step with findings that leaves the wanted part of the counted ones at or above it."""
+    below = np.cumsum(counts) - counts  # findings under each step
+    last = np.flatnonzero((counts > 0) & (below <= (1 - RECALL) * counts.sum() + 1e-9)).max()
+    return float(net.sure((int(last) - MOST * STEPS) / STEPS))
+
+
 def trained(docs: DataFrame, limit: int = TRAINING_ROWS) -> Network | None:
     """A network from at most ``limit`` distinct windows of each label, those of the least hashes.
 
@@ -250,7 +285,10 @@ def trained(docs: DataFrame, limit: int = TRAINING_ROWS) -> Network | None:
     if min((y[aside] == k).sum() for k in (0, 1)) < 1 or min((y[~aside] == k).sum() for k in (0, 1)) < 1:
         aside = np.zeros(len(y), bool)
     net = learned(x[~aside], y[~aside])
-    return calibrated(net, x[aside], y[aside]) if aside.any() else calibrated(net, x, y)
+    net = calibrated(net, x[aside], y[aside]) if aside.any() else calibrated(net, x, y)
+    old, new = steps_of_findings(docs, net, {bytes(r["window"]) for r, out in zip(rows, aside, strict=True) if not out})
+    net.threshold = min([recalling(net, counts) for counts in (old + new, new) if counts.any()] or [net.threshold])
+    return net
 
 
 def best_scores(score: Callable[[np.ndarray], np.ndarray], runs: list[tuple[str, int, int]]) -> np.ndarray:

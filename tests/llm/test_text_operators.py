@@ -545,6 +545,22 @@ def test_network_recall_and_gradient(spark):
     assert net.probability(np.stack(hex_)).mean() > net.probability(np.stack(numbers)).mean()
 
 
+def test_threshold_keeps_recall_of_all_findings(spark):
+    rng = random.Random(2)
+    value = lambda chars, n: "".join(rng.choice(chars) for _ in range(n))
+    texts = [f"the token = \"{value('0123456789abcdef', 40)}\" of it" for _ in range(300)]
+    texts += [f"the token = {value('0123456789', 16)} of it" for _ in range(60)]
+    texts += [f"the tokem = {value('0123456789', 16)} of it" for _ in range(400)]  # looks the same to the network
+    net = secrets_cnn.trained(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 120)
+    known = [secrets_cnn.window(t, *secrets_cnn.candidates(t)[0]) for t in texts[:360]]
+    assert (net.probability(np.stack(known)) >= net.threshold).mean() >= 0.97
+    counts = np.zeros(2 * secrets_cnn.MOST * secrets_cnn.STEPS + 1, np.int64)
+    middle = secrets_cnn.MOST * secrets_cnn.STEPS
+    counts[[middle - 900, middle - 700, middle - 650, middle + 5]] = [1, 1, 1, 97]
+    net.scale, net.shift = 1.0, 0.0
+    assert secrets_cnn.recalling(net, counts) == pytest.approx(1 / (1 + np.exp(650 / secrets_cnn.STEPS)))
+
+
 def test_network_reads_the_whole_run():
     class Equals:
         """Finds runs that show it an equals sign."""
