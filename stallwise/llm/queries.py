@@ -9,11 +9,14 @@ from stallwise.llm import (
     bpe,
     chat_trees,
     decontaminate,
+    divergence,
     html_diff,
     language_fusion,
+    mixing,
     order_minhash,
     pii_feistel,
     quality_qda,
+    repair,
     rules_gbt,
     secrets_cnn,
 )
@@ -66,6 +69,18 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules_gbt.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergences(table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.damaged_repairs(table(spark, sf_dir, "conversations"))
+
+
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -79,6 +94,14 @@ QUERIES = {
         op8_language_id,
         op9_quality_rules,
         op10_secret_scan,
+        op11_source_divergence,
+        op12_conversation_repair,
+        op13_source_mix,
     )
 }
-ORACLE = {"op5_decontamination": decontaminate.ORACLE, "op6_chat_format": chat_trees.ORACLE}
+ORACLE = {
+    "op5_decontamination": decontaminate.ORACLE,
+    "op6_chat_format": chat_trees.ORACLE,
+    "op11_source_divergence": divergence.ORACLE,
+    "op12_conversation_repair": repair.ORACLE,
+}
