@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -17,11 +18,19 @@ _held: list[Callable[[], None]] = []
 
 
 def hold(clear: Callable[[], None]) -> None:
-    """Say from ``make`` that this worker keeps a cache between tasks; it is cleared when a task of another kind comes."""
+    """Say from ``make`` that this worker keeps a model or cache between tasks; ``clear`` drops it when a task of another kind comes."""
     if clear not in _held:
         _held.append(clear)
 
 
+def hand_back() -> None:
+    """Give memory that is free back to the system: workers are reused, and keep it from the operators before."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -58,6 +67,7 @@ def with_python(
         for clear in before:
             if clear not in _held:
                 clear()
+        hand_back()
         for batch in batches:
             for part in slices(batch):
                 rows = list(each(*(part.column(part.schema.get_field_index(c)).to_pylist() for c in inputs)))

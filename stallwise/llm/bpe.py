@@ -124,11 +124,6 @@ class WordBpe:
         new, seek = self.chunks.new, self.chunks
         parts += [new.get(c) or seek(c) for c in text.split()]
 
-    def clear(self) -> None:
-        """Drop the words kept."""
-        self.words.clear()
-        self.chunks.clear()
-
     def encode(self, text: str | None) -> tuple[np.ndarray, str]:
         """The ids of a text and the text that they decode to; special tokens in it keep their ids."""
         parts: list[list[int]] = []
@@ -151,6 +146,12 @@ def model(path: str) -> WordBpe:
     return WordBpe(path)
 
 
+def held_model(path: str) -> WordBpe:
+    """The model, kept by the worker with its words until a task of another kind comes."""
+    hold(model.cache_clear)
+    return model(path)
+
+
 def encode(d: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str | None = None, keep_text: bool = True) -> DataFrame:
     """Add the token ids of a text column and, if named, the text they decode to.
 
@@ -159,8 +160,7 @@ def encode(d: DataFrame, path: str, text: str = "text", ids: str = "ids", decode
     """
 
     def make():
-        bpe = model(path)
-        hold(bpe.clear)
+        bpe = held_model(path)
 
         def each(texts):
             for t in texts:
@@ -177,7 +177,7 @@ def decode(d: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded")
     """Add the text that a column of ids stands for; NULL ids give the empty string, unknown ids nothing."""
 
     def make():
-        bpe = model(path)
+        bpe = held_model(path)
         return lambda rows: ((bpe.decode(r or []),) for r in rows)
 
     return with_python(d, [ids], f"`{decoded}` string", make)

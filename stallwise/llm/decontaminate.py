@@ -124,7 +124,7 @@ def shingled(docs: DataFrame, filters: dict[int, np.ndarray]) -> DataFrame:
     packed = docs.sparkSession.sparkContext.broadcast(filters)
 
     def make():
-        known = {s: np.unpackbits(f.view(np.uint8), bitorder="little").view(bool) for s, f in packed.value.items()}
+        known = {s: f.view(np.uint8) for s, f in packed.value.items()}
         hashes = _Hashes()
 
         def each(texts):
@@ -136,7 +136,7 @@ def shingled(docs: DataFrame, filters: dict[int, np.ndarray]) -> DataFrame:
                 hits: list[tuple[int, int]] = []
                 for s, f in known.items():
                     a, b = probes(shingle_hashes(each_hash, s))
-                    hits += [(int(p), s) for p in np.flatnonzero(f[a] & f[b])]
+                    hits += [(int(p), s) for p in np.flatnonzero(f[a >> 3] >> (a & 7) & f[b >> 3] >> (b & 7) & 1)]
                 found = [
                     {"start": a, "words": [w.decode() for w in words[a:b]], "hits": [{"p": p, "s": s} for p, s in inside]}
                     for a, b, inside in _segments(sorted(hits), len(words))

@@ -156,8 +156,8 @@ def filter_bits(wanted: DataFrame) -> np.ndarray:
     bit = F.pmod(F.xxhash64("digest"), F.lit(FILTER_BITS))
     words = wanted.select(bit.alias("bit")).groupBy(F.expr("bit div 64").cast("int").alias("at"))
     out = np.zeros(FILTER_BITS // 64, np.int64)
-    for row in words.agg(F.expr("bit_or(shiftleft(1L, cast(bit % 64 as int)))").alias("word")).collect():
-        out[row["at"]] = row["word"]
+    found = words.agg(F.expr("bit_or(shiftleft(1L, cast(bit % 64 as int)))").alias("word")).toArrow()
+    out[found.column("at").to_numpy()] = found.column("word").to_numpy()
     return out
 
 
@@ -170,11 +170,11 @@ def word_rows(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     def make():
         hashes = _Hashes()
-        known = np.unpackbits(packed.value.view(np.uint8), bitorder="little").view(bool)
+        known = packed.value.view(np.uint8)
 
         def each(bits, texts):
             for bit, t in zip(bits, texts, strict=True):
-                if not known[bit]:
+                if not known[bit >> 3] >> (bit & 7) & 1:
                     yield (None,)
                     continue
                 words = words_of(t)
