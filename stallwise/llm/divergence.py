@@ -30,7 +30,7 @@ LEAST_DOCUMENTS, TOP, WHOLE, ADDED = 10, 10, 10**9, 2
 #: Distinct terms that a task counts before it hands them on.
 HELD = 200_000
 #: Postings of a block: more where a language has many sources, as a block gives a row per pair of them.
-LEAST_BLOCK, MOST_BLOCK = 1 << 18, 1 << 22
+LEAST_BLOCK, MOST_BLOCK = 1 << 14, 1 << 22
 #: Sources whose rows one task accumulates, and postings gathered at a time.
 ROWS, GATHERED = 2048, 1 << 20
 #: A-Z become a-z; a-z and what is not ASCII stay; all else parts terms.

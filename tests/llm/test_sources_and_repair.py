@@ -55,7 +55,7 @@ def some_documents():
     return [*rows, (None, "de", "quiet"), ("", "it", "one"), ("only here", "it", "two"), ("only here", "xx", "single"), rows[0], rows[0]]
 
 
-@pytest.mark.parametrize(("least", "rows", "gathered"), [(1 << 18, 2048, 1 << 20), (4, 2, 8)])
+@pytest.mark.parametrize(("least", "rows", "gathered"), [(1 << 14, 2048, 1 << 20), (4, 2, 8)])
 def test_divergences_match_the_definition(spark, monkeypatch, least, rows, gathered):
     for name, value in (("LEAST_BLOCK", least), ("MOST_BLOCK", least), ("ROWS", rows), ("GATHERED", gathered)):
         monkeypatch.setattr(divergence, name, value)
