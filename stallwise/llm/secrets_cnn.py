@@ -216,7 +216,7 @@ def piece_label(a: int, b: int, c: int, d: int, found: list[Span]) -> int | None
 def labelled_candidates(docs: DataFrame) -> DataFrame:
     """(label, window) of every distinct window; label 1: it holds a finding of the rules, or half a window of it.
 
-    For findings that are not candidates themselves, the value that they hold is the candidate.
+    Findings that hold no candidate give no window.
     """
 
     def make():
