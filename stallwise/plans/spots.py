@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stallwise.functions.geometry import centroid, geo_id
+from stallwise.functions.geometry import centroid, geo_id, tag_srid
 from stallwise.operators.dedupe import first_per_key
 from stallwise.operators.overlay import make_valid
 from stallwise.sources.scratch import materialized
@@ -33,15 +33,15 @@ def build_spots(his: DataFrame) -> DataFrame:
 
 
 def publish_spots(spots: DataFrame) -> DataFrame:
-    """Spots with their centre and the id made of it."""
+    """Spots with their centre and the id made of it; both geometries name their reference system."""
     centred = spots.withColumn("geo_id", centroid(F.col("geom")))
     return centred.select(
         "parkeer_id_md5",
         "parkeer_id",
         geo_id(F.col("geo_id")).alias("parkeer_geo_id"),
         *SPOT_ATTRIBUTES,
-        "geom",
-        "geo_id",
+        tag_srid(F.col("geom"), "geom"),
+        tag_srid(F.col("geo_id"), "geo_id"),
     )
 
 

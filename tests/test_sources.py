@@ -1,6 +1,7 @@
 import datetime as dt
 import decimal
 import json
+import os
 
 import pytest
 from pyspark.errors import PySparkException
@@ -18,8 +19,18 @@ from stallwise.operators.checks import (
 )
 from stallwise.operators.listing import get_spot, list_spots, page_count, select_ids, simple_listing, spot_listing
 from stallwise.plans.update import derive, load, views
-from stallwise.sources.history import append_history, read_history, read_snapshots, write_history
-from stallwise.sources.publish import export_geojson, publish, read_published
+from stallwise.sources.history import append_history, history_rows, read_history, read_snapshots, write_history
+from stallwise.sources.log import Conflict
+from stallwise.sources.publish import (
+    Update,
+    export_geojson,
+    publish,
+    published,
+    published_measures,
+    read_published,
+    remove_old,
+)
+from stallwise.sources.schemas import widened
 from stallwise.sources.shapefile import register
 from stallwise.sources.sign_types import e_types
 from stallwise.sources.snapshots import latest_per_class, latest_snapshot, one_file_per_district, with_snapshot
@@ -224,3 +235,86 @@ def test_history_keeps_columns_of_some_districts(spark, tmp_path):
 def test_missing_table_counts_nothing(spark):
     rows = check_layers({"there": spark.range(2), "missing": None}, [row_count("needed", None, 1)]).collect()
     assert {r["check"]: (r["value"], r["ok"]) for r in rows} == {"count there": (2, True), "count missing": (0, True), "needed": (0, False)}
+
+
+def test_history_of_two_types_reads_as_one(spark, tmp_path):
+    path = str(tmp_path / "history")
+    rows = lambda value, kind, district: spark.createDataFrame([(district, decimal.Decimal(value))], f"stadsdeel string, aantal {kind}")
+    write_history(rows("2", "decimal(10,0)", "a"), path)
+    write_history(rows("2.50", "decimal(12,2)", "b"), path)
+    write_history(rows("3", "decimal(6,0)", "c"), path)
+    write_history(spark.createDataFrame([("d", 4)], "stadsdeel string, AANTAL int"), path)
+    back = read_history(spark, path)
+    assert back.schema.simpleString() == "struct<aantal:decimal(12,2),stadsdeel:string>"
+    assert {r.stadsdeel: str(r.aantal) for r in back.collect()} == {"a": "2.00", "b": "2.50", "c": "3.00", "d": "4.00"}
+    assert [r.stadsdeel for r in back.filter("aantal > 2.25 and aantal < 3.5").orderBy("stadsdeel").collect()] == ["b", "c"]
+    plan = back.filter("stadsdeel = 'a'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(stadsdeel" in plan and len(back.filter("stadsdeel = 'a'").inputFiles()) >= 1
+    with pytest.raises(ValueError, match="aantal is stored as decimal"):
+        write_history(spark.createDataFrame([("d", "x")], "stadsdeel string, aantal string"), path)
+    assert read_history(spark, path).count() == 4
+    with pytest.raises(ValueError, match="no history"):
+        read_history(spark, str(tmp_path / "none"))
+
+
+def test_types_widen_as_the_scan_can_read_them(spark, tmp_path):
+    samples = [
+        ("tinyint", "7"), ("smallint", "300"), ("int", "70000"), ("bigint", "5000000000"), ("float", "1.5"), ("double", "2.25"),
+        ("decimal(9,2)", "1.25"), ("decimal(20,4)", "3.5"), ("decimal(38,10)", "4"), ("date", "date'2020-01-01'"),
+        ("timestamp_ntz", "timestamp_ntz'2020-01-01 10:00:00'"), ("string", "'x'"),
+    ]
+    made = []
+    for i, (name, value) in enumerate(samples):
+        spark.sql(f"select cast({value} as {name}) as v").coalesce(1).write.parquet(f"{tmp_path}/{i}")
+        made.append(spark.read.parquet(f"{tmp_path}/{i}"))
+    for i, first in enumerate(made):
+        for j, second in enumerate(made[i:], i):
+            wide = widened(first.schema["v"].dataType, second.schema["v"].dataType)
+            assert wide == widened(second.schema["v"].dataType, first.schema["v"].dataType)
+            if wide is not None and i != j:
+                got = spark.read.schema(f"v {wide.simpleString()}").parquet(f"{tmp_path}/{i}", f"{tmp_path}/{j}").collect()
+                want = first.select(F.col("v").cast(wide)).unionAll(second.select(F.col("v").cast(wide))).collect()
+                assert sorted(got) == sorted(want), (samples[i], samples[j])
+
+
+def test_snapshot_without_a_column_is_refused(spark):
+    staged = spark.createDataFrame([("a", "west")], "parkeer_id string, stadsdeel string")
+    with pytest.raises(ValueError, match="tvm_begind"):
+        history_rows(staged)
+
+
+def test_tables_of_an_update_become_current_together(spark, tmp_path):
+    store = str(tmp_path / "store")
+    first = Update(spark, store)
+    first.write("a", spark.range(1))
+    assert published(spark, store) == {}
+    first.write("b", spark.range(2).withColumn("day", F.lit("x")), ["day"], {"most": F.max("id")})
+    assert published(spark, store) == {} and first.measures() == {"a": {"rows": 1}, "b": {"rows": 2, "most": 1}}
+    assert first.commit() == 1
+    second, third = Update(spark, store), Update(spark, store)
+    assert second.write("a", spark.range(10)).count() == 10
+    counts = lambda version=None: {n: d.count() for n, d in published(spark, store, version).items()}
+    assert counts() == {"a": 1, "b": 2}
+    third.write("b", spark.range(20))
+    assert second.commit() == 2 and counts() == {"a": 10, "b": 2} and counts(1) == {"a": 1, "b": 2}
+    with pytest.raises(Conflict):
+        third.commit()
+    assert counts() == {"a": 10, "b": 2} and published_measures(spark, store)["b"]["rows"] == 2
+    with pytest.raises(ValueError):
+        second.write("a", spark.range(1))
+    running = Update(spark, store)
+    running.write("a", spark.range(3))
+    # The first "a" and what the refused update wrote go; the running update's table and "b", still current, stay.
+    assert [o.split("/")[0] for o in remove_old(spark, store, keep=1)] == ["a", "b"]
+    assert counts() == {"a": 10, "b": 2} and running.commit() == 3 and counts() == {"a": 3, "b": 2}
+    assert not [n for n in os.listdir(f"{store}/_commits") if n.endswith(".tmp")]
+
+
+def test_failed_update_leaves_the_store(spark, tmp_path):
+    store = str(tmp_path / "store")
+    publish(spark.range(5), f"{store}/a")
+    failing = Update(spark, store)
+    failing.write("a", spark.range(6))
+    with pytest.raises(PySparkException):
+        failing.write("b", spark.range(1).select(F.raise_error(F.lit("no")).alias("x")))
+    assert {n: d.count() for n, d in published(spark, store).items()} == {"a": 5}

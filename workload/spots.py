@@ -69,7 +69,7 @@ def todays(spark: SparkSession, sf: str) -> DataFrame:
 
 def stored(spark: SparkSession, sf: str) -> DataFrame:
     """The reservations of all days as a published table, a folder for each day."""
-    path = scratch_dir(spark)
+    path = f"{scratch_dir(spark)}/reservations"
     publish(published_reservations(history(spark, sf), AS_OF, HORIZON), path, ["reserverings_datum"])
     return read_published(spark, path)
 
