@@ -9,6 +9,7 @@ holds the key can go back.
 
 from __future__ import annotations
 
+import bisect
 import datetime
 import hashlib
 import math
@@ -23,15 +24,23 @@ from stallwise.llm.arrow import free_name, with_python
 KINDS = ("email", "ip", "date", "phone", "card")
 ROUNDS = 10
 FIRST_DAY, LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2099, 12, 31).toordinal()
-#: Days after the twelfth: with slashes or dots and the month first, only these cannot be read day first.
-LATE_DAYS = [k for k in range(FIRST_DAY, LAST_DAY + 1) if datetime.date.fromordinal(k).day > 12]
-_LATE_PLACE = {day: k for k, day in enumerate(LATE_DAYS)}
+#: Days up to the twelfth and after it: with slashes or dots and the month first, only the latter cannot be read day first.
+HALVES = {
+    late: [k for k in range(FIRST_DAY, LAST_DAY + 1) if (datetime.date.fromordinal(k).day > 12) == late]
+    for late in (False, True)
+}
 _HOST = re.compile(r"(?:[\w-]+\.)+[^\W\d_]{2,}")
 _IP = re.compile(r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\w)", re.A)
 _DATE = re.compile(r"(?<![\w./-])(?:(\d{4})-(\d{2})-(\d{2})|(\d{1,2})([./])(\d{1,2})\5(\d{4}))(?!\w)", re.A)
 _PHONE = re.compile(r"(?<!\w)\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,4}(?!\w)|(?<!\w)\(\d{3}\) ?\d{3}-\d{4}(?!\w)", re.A)
 _CARD = re.compile(r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-])", re.A)
+_TRUNK = re.compile(r"\(\d\)", re.A)
 _NUMBER = re.compile(r"\d", re.A)
+# The calling codes of two digits. Those that begin with 1 or 7 have one digit, all others three.
+TWO_DIGIT_CODES = frozenset(
+    "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 "
+    "81 82 84 86 90 91 92 93 94 95 98".split()
+)
 
 
 def _round(key: bytes, tweak: str, k: int, value: int) -> int:
@@ -83,13 +92,28 @@ def card(found: str, key: bytes, back: bool = False) -> str | None:
     return _put(found, new + str(luhn(new)))
 
 
+def country_code(digits: str) -> str:
+    """The calling code that the digits of an international number begin with."""
+    return digits[:1] if digits[0] in "17" else digits[:2] if digits[:2] in TWO_DIGIT_CODES else digits[:3]
+
+
 def phone(found: str, key: bytes, back: bool = False) -> str | None:
-    country = re.match(r"\+\d{1,3}(?=\D)|\+\d", found, re.A)
-    head = country[0] if country else ""
-    digits = re.sub(r"\D", "", found[len(head) :])
-    if not 6 <= len(digits) <= 14:
+    """Digits after the calling code are permuted, whatever parts the number: all spellings of it get one pseudonym.
+
+    A number in brackets without a calling code is one of code 1. A single digit in brackets, as the
+    (0) that is dialled from inside a country, stays and is not part of the number.
+    """
+    aside = _TRUNK.search(found)
+    before, kept, after = (found[: aside.start()], aside[0], found[aside.end() :]) if aside else (found, "", "")
+    digits = re.sub(r"\D", "", before + after)
+    code = country_code(digits) if found[0] == "+" else "1"
+    skipped = len(code) if found[0] == "+" else 0
+    national = digits[skipped:]
+    if not 6 <= len(national) <= 14:
         return None
-    return head + _put(found[len(head) :], _number(digits, key, f"phone{head}", back))
+    new = digits[:skipped] + _number(national, key, f"phone+{code}:", back)
+    cut = len(re.sub(r"\D", "", before))
+    return _put(before, new[:cut]) + kept + _put(after, new[cut:])
 
 
 def ip(found: str, key: bytes, back: bool = False) -> str | None:
@@ -103,7 +127,8 @@ def ip(found: str, key: bytes, back: bool = False) -> str | None:
 def date(found: str, key: bytes, back: bool = False) -> str | None:
     """Dates of 1900 to 2099; with slashes or dots the day comes first where that is a date, else the month.
 
-    Spellings with the month first are permuted among themselves, so that no image reads as one with the day first.
+    One permutation serves all spellings, so a date is linked across them. Days after the twelfth of a month
+    are permuted among themselves, and so are the others: an image can be spelled as its date was and read back.
     """
     m = _DATE.fullmatch(found)
     tries = [(m[1], m[2], m[3])] if m[1] else [(m[7], m[6], m[4])] + ([(m[7], m[4], m[6])] if int(m[4]) <= 12 else [])
@@ -114,10 +139,9 @@ def date(found: str, key: bytes, back: bool = False) -> str | None:
             continue
         if not FIRST_DAY <= ordinal <= LAST_DAY:
             return None
-        if turn == 0:
-            image = FIRST_DAY + permuted(ordinal - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, key, "date", back)
-        else:
-            image = LATE_DAYS[permuted(_LATE_PLACE[ordinal], len(LATE_DAYS), key, "month-first date", back)]
+        late = int(day) > 12
+        half = HALVES[late]
+        image = half[permuted(bisect.bisect_left(half, ordinal), len(half), key, "late date" if late else "date", back)]
         new = datetime.date.fromordinal(image)
         if m[1]:
             return new.isoformat()
@@ -176,11 +200,18 @@ def findings(text: str | None) -> list[tuple[int, int, str]]:
         for kind, pattern in (("ip", _IP), ("date", _DATE), ("phone", _PHONE), ("card", _CARD)):
             found += [(*m.span(), kind) for m in pattern.finditer(text)]
     out: list[tuple[int, int, str]] = []
-    for start, end, kind in found:
-        clear = all(end <= a or b <= start for a, b, _ in out)
-        if clear and _MAKE[kind](text[start:end], b"-") is not None:
-            out.append((start, end, kind))
-    return sorted(out)
+    for kind in KINDS:
+        mine, free_from = [], 0
+        starts = [start for start, _, _ in out]
+        for start, end, _ in (f for f in found if f[2] == kind):
+            # Spans in out are apart and in order, so only the last that begins before this one's end can meet it.
+            before = bisect.bisect_left(starts, end) - 1
+            clear = start >= free_from and (before < 0 or out[before][1] <= start)
+            if clear and _MAKE[kind](text[start:end], b"-") is not None:
+                mine.append((start, end, kind))
+                free_from = end
+        out = sorted(out + mine)
+    return out
 
 
 def pseudonymised(text: str | None, key: bytes, back: bool = False) -> tuple[str | None, list[str]]:

@@ -5,6 +5,7 @@ import hashlib
 import html
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -115,6 +116,55 @@ def test_month_first_dates_stay_apart_and_go_back():
     assert not set(moved) & set(images) and [pii_feistel.date(x, b"k", True) for x in moved] == some
 
 
+def test_equal_values_are_linked_across_spellings():
+    phones = ["+49 30 1234567", "+49301234567", "+49 (30) 1234567", "+4930-123-4567", "+49 (0)30 1234567", "+49 (0) 30 123 4567"]
+    images = [pii_feistel.phone(x, b"k") for x in phones]
+    bare = {re.sub(r"\(0\)|\D", "", x) for x in images}
+    assert len(bare) == 1 and bare.pop().startswith("49") and images[4].startswith("+49 (0)")
+    assert [pii_feistel.phone(x, b"k", True) for x in images] == phones
+    one, two = (pii_feistel.phone(x, b"k") for x in ("(555) 123-4567", "+1 555 123 4567"))
+    assert re.sub(r"\D", "", two) == "1" + re.sub(r"\D", "", one)
+    assert pii_feistel.phone("+44 20 1234567", b"k")[7:] != pii_feistel.phone("+49 20 1234567", b"k")[7:]
+    for day in (25, 7):
+        iso, first, dots = (pii_feistel.date(x.format(day), b"k") for x in ("2020-04-{:02}", "{:02}/04/2020", "{}.4.2020"))
+        assert first == f"{iso[8:]}/{iso[5:7]}/{iso[:4]}" and dots.split(".") == [str(int(iso[8:])) if day < 10 else iso[8:], str(int(iso[5:7])), iso[:4]]
+    iso, us = pii_feistel.date("2020-04-25", b"k"), pii_feistel.date("04/25/2020", b"k")
+    assert us == f"{iso[5:7]}/{iso[8:]}/{iso[:4]}" and pii_feistel.date(us, b"k", True) == "04/25/2020"
+    days = [datetime.date.fromordinal(k).isoformat() for k in range(pii_feistel.FIRST_DAY, pii_feistel.FIRST_DAY + 3000)]
+    moved = [pii_feistel.date(x, b"k") for x in days]
+    assert len(set(moved)) == len(days) and [pii_feistel.date(x, b"k", True) for x in moved] == days
+
+
+def brute_findings(text):
+    """Every match of each kind in turn, held against all that were taken before."""
+    out = []
+    patterns = {"ip": pii_feistel._IP, "date": pii_feistel._DATE, "phone": pii_feistel._PHONE, "card": pii_feistel._CARD}
+    for kind in pii_feistel.KINDS:
+        spans = pii_feistel._mails(text) if kind == "email" else [m.span() for m in patterns[kind].finditer(text)]
+        for start, end in spans:
+            clear = not any(a < end and start < b for a, b, _ in out)
+            if clear and pii_feistel._MAKE[kind](text[start:end], b"other") is not None:
+                out.append((start, end, kind))
+    return sorted(out)
+
+
+def test_findings_equal_brute_force(docs):
+    parts = ["a@b.nl", "a@b@c.de.x", "1.2.3.4", "+31 20 1234567", "4111 1111 1111 1111", "2020-04-25", "+49301234567@x.org", "01/02/2003", " ", "x", ",", "-7"]
+    draw = random.Random(3)
+    texts = ["".join(draw.choice(parts) for _ in range(draw.randint(0, 30))) for _ in range(2000)]
+    texts += [r.text for r in docs.select("text").collect() if r.text]
+    for text in texts:
+        assert pii_feistel.findings(text) == brute_findings(text)
+    assert sum(len(pii_feistel.findings(t)) for t in texts) > 1000
+
+
+def test_a_text_of_very_many_findings_takes_seconds():
+    text = " ".join(f"user{k}@example.org +49 30 {1000000 + k}" for k in range(20_000))
+    begun = time.monotonic()
+    assert len(pii_feistel.findings(text)) == 40_000
+    assert time.monotonic() - begun < 30
+
+
 def test_pseudonyms_odd_rows(odd, empty):
     rows = pii_feistel.pseudonyms(odd, b"k").collect()
     assert [r["text"] for r in rows] == [r[1] for r in ODD] and rows[0]["label"] is None
