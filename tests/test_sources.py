@@ -9,15 +9,18 @@ from pyspark.sql import functions as F
 
 from stallwise.functions.geometry import MULTIPOLYGON, area, tag_srid
 from stallwise.operators.checks import (
+    SPOT_LENGTHS,
     check_layers,
     enforced,
     expect_min_files,
     no_rows,
     orphan_reservations,
+    over_length,
     row_count,
     too_long,
 )
 from stallwise.operators.listing import get_spot, list_spots, page_count, select_ids, simple_listing, spot_listing
+from stallwise.plans.spots import SPOT_ATTRIBUTES, publish_spots
 from stallwise.plans.update import derive, load, views
 from stallwise.sources.history import append_history, history_rows, read_history, read_snapshots, write_history
 from stallwise.sources.log import Conflict
@@ -318,3 +321,22 @@ def test_failed_update_leaves_the_store(spark, tmp_path):
     with pytest.raises(PySparkException):
         failing.write("b", spark.range(1).select(F.raise_error(F.lit("no")).alias("x")))
     assert {n: d.count() for n, d in published(spark, store).items()} == {"a": 5}
+
+
+def test_lengths_are_counted_while_a_table_is_written(spark, tmp_path):
+    update = Update(spark, str(tmp_path / "store"))
+    rows = spark.createDataFrame([("x" * 51, "E1"), ("x" * 50, "E13bis"), (None, None), ("", "E1")], "bord string, e_type string")
+    over = over_length(rows.columns, SPOT_LENGTHS)
+    update.write("spots", rows.repartition(3), measures={"too_long": F.count_if(over)})
+    update.write("none", rows.limit(0), measures={"too_long": F.count_if(over)})
+    assert update.measures() == {"spots": {"rows": 4, "too_long": 2}, "none": {"rows": 0, "too_long": 0}}
+    checks = check_layers({"spots": 4}, [no_rows("lengths", 2), row_count("enough", 4, 4)]).collect()
+    assert [(r.value, r.ok) for r in checks] == [(4, True), (2, False), (4, True)]
+
+
+def test_published_geometry_names_its_reference_system(spark, tmp_path):
+    spots = spark.createDataFrame([("P1", [[ring(0, 0)]])], f"parkeer_id string, geom {MULTIPOLYGON}")
+    spots = spots.withColumns({c: F.lit(None).cast("string") for c in SPOT_ATTRIBUTES}).withColumn("parkeer_id_md5", F.col("parkeer_id"))
+    publish(publish_spots(spots), str(tmp_path / "spots"))
+    back = read_published(spark, str(tmp_path / "spots")).schema
+    assert back["geom"].metadata == back["geo_id"].metadata == {"srid": 28992}

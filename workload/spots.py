@@ -278,7 +278,8 @@ SELECT straatnaam, aantal, oppervlak FROM (SELECT straatnaam, count(*) AS aantal
  UNION ALL SELECT 'unique spots', count(*) - count(DISTINCT parkeer_id), count(*) = count(DISTINCT parkeer_id) FROM spots
  UNION ALL SELECT 'unique reservations', count(*), count(*) = 0 FROM (SELECT k FROM fis GROUP BY k HAVING count(*) > 1)
  UNION ALL SELECT 'reserved spots published', count(DISTINCT parkeer_id), count(*) = 0 FROM fis WHERE parkeer_id NOT IN (SELECT parkeer_id FROM spots)
- UNION ALL SELECT 'spot text lengths', 0, true
- UNION ALL SELECT 'reservation text lengths', 0, true
+ UNION ALL SELECT 'spot text lengths', count(*), count(*) = 0 FROM spots WHERE length(parkeer_id) > 30 OR length(stadsdeel) > 20
+  OR length(buurtcode) > 20 OR length(straatnaam) > 40 OR length(soort) > 20 OR length(type) > 20 OR length(e_type) > 5 OR length(bord) > 50
+ UNION ALL SELECT 'reservation text lengths', count(*), count(*) = 0 FROM fis WHERE length(parkeer_id) > 30 OR length(opm) > 100 OR length(bron) > 100
  UNION ALL SELECT 'enough files', count(DISTINCT stadsdeel), count(DISTINCT stadsdeel) >= 8 FROM his"""),
 }
