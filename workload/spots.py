@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stallwise.functions.geometry import area, centroid, geo_id
-from stallwise.functions.rd import LAT0, LON0, R, S, X0, Y0, request_point
+from stallwise.functions.rd import request_point
 from stallwise.operators.checks import check_layers, orphan_reservations, standard_expectations
 from stallwise.operators.listing import (
     filter_spots,
@@ -219,9 +219,13 @@ VIEWED = [o.CTE_SPOTS, TITLES, VIEW]
 
 _kind = """CASE shape WHEN 0 THEN NULL WHEN 1 THEN 'MultiLineString' WHEN 5 THEN 'GeometryCollection' ELSE 'MultiPolygon' END"""
 _area = "CAST(CASE shape WHEN 0 THEN 0 WHEN 1 THEN 0 WHEN 5 THEN 0 WHEN 3 THEN w * h / 2.0 ELSE w * h END AS DOUBLE)"
-_terms = lambda start, terms: f"{start!r}::DOUBLE" + "".join(
-    f" + ({c!r}::DOUBLE)" + " * p" * i + " * l" * j for (i, j), c in terms.items()
-)
+# The published polynomial, written out apart from the code that it checks.
+_degrees = "SELECT pid, (CAST(lat AS DOUBLE) - 52.15517440) * 0.36::DOUBLE AS p, (CAST(lon AS DOUBLE) - 5.38720621) * 0.36::DOUBLE AS l"
+_rd_x = """(155000 + 190094.945::DOUBLE * l - 11832.228::DOUBLE * p * l - 114.221::DOUBLE * p * p * l - 32.391::DOUBLE * l * l * l
+ - 0.705::DOUBLE * p - 2.340::DOUBLE * p * p * p * l - 0.608::DOUBLE * p * l * l * l - 0.008::DOUBLE * l * l + 0.148::DOUBLE * p * p * l * l * l)"""
+_rd_y = """(463000 + 309056.544::DOUBLE * p + 3638.893::DOUBLE * l * l + 73.077::DOUBLE * p * p - 157.984::DOUBLE * p * l * l
+ + 59.788::DOUBLE * p * p * p + 0.433::DOUBLE * l - 6.439::DOUBLE * p * p * l * l - 0.032::DOUBLE * p * l + 0.092::DOUBLE * l * l * l * l
+ - 0.054::DOUBLE * p * l * l * l * l)"""
 _ids = ", ".join(f"'{i}'" for i in SELECTED_IDS.split(","))
 _attrs = "stadsdeel, buurtcode, straatnaam, soort, type, aantal, e_type, bord"
 _attrs_order = ", ".join(f"{c} NULLS FIRST" for c in _attrs.split(", "))
@@ -244,8 +248,8 @@ ORACLE = {
  {_on_day} LEFT JOIN titles ON code = e_type"""),
     "c7_spots_at_points": o.with_([o.CTE_SPOTS, f"pts AS ({duck(POINTS_SQL)})"], """SELECT pid, min(parkeer_id) AS id FROM pts JOIN spots
  ON px > x0 AND px < x0 + w AND py > y0 AND py < y0 + h GROUP BY pid"""),
-    "j8_wgs84_to_rd": f"""SELECT pid, round({_terms(X0, R)}, 3) AS x, round({_terms(Y0, S)}, 3) AS y
- FROM (SELECT pid, (lat - {LAT0}) * 0.36::DOUBLE AS p, (lon - {LON0}) * 0.36::DOUBLE AS l FROM ({duck(WGS84_SQL)}))""",
+    "j8_wgs84_to_rd": f"""SELECT pid, round({_rd_x}, 3) AS x, round({_rd_y}, 3) AS y
+ FROM ({_degrees} FROM ({duck(WGS84_SQL)}))""",
     "d1_dissolve_by_street": o.with_([o.CTE_SPOTS], """SELECT straatnaam, count(*) AS aantal, CAST(sum(w * h) AS DOUBLE) AS oppervlak
  FROM spots WHERE straatnaam IS NOT NULL GROUP BY straatnaam"""),
     "j9_dissolve": f"""WITH r AS ({duck(RECTANGLES_SQL)}),
@@ -261,8 +265,8 @@ SELECT straatnaam, aantal, oppervlak FROM (SELECT straatnaam, count(*) AS aantal
     "b11_select_ids_text": o.with_(VIEWED, f"SELECT id, geo_id FROM view WHERE id IN ({_ids})"),
     "f2_get_spot": o.with_(VIEWED, "SELECT * FROM view WHERE id = 'P7'"),
     "geosearch": o.with_([o.CTE_SPOTS, f"requests AS ({duck(REQUESTS_SQL)})", f"""pts AS (
- SELECT pid, {_terms(X0, R)} AS px, {_terms(Y0, S)} AS py
- FROM (SELECT pid, (CAST(lat AS DOUBLE) - {LAT0}) * 0.36::DOUBLE AS p, (CAST(lon AS DOUBLE) - {LON0}) * 0.36::DOUBLE AS l
+ SELECT pid, {_rd_x} AS px, {_rd_y} AS py
+ FROM ({_degrees}
   FROM requests WHERE lat IS NOT NULL AND lon IS NOT NULL)
  UNION ALL SELECT pid, CAST(x AS DOUBLE), CAST(y AS DOUBLE) FROM requests WHERE lat IS NULL AND x <> '0')"""], """SELECT pid, min(parkeer_id) AS id
  FROM pts JOIN spots ON px > x0 AND px < x0 + w AND py > y0 AND py < y0 + h GROUP BY pid"""),
