@@ -192,7 +192,7 @@ def word_rows(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, words: DataFrame) -> DataFrame:
-    """The rows of ``pairs`` (hub, key) that the alignment confirms."""
+    """The rows of ``pairs`` (hub, key and any others) that the alignment confirms."""
 
     def make():
         def each(ones, twos):
@@ -203,20 +203,22 @@ def verified(pairs: DataFrame, words: DataFrame) -> DataFrame:
 
     d = pairs.join(words.select("key", F.col("words").alias("__b")), "key")
     d = d.join(words.select(F.col("key").alias("hub"), F.col("words").alias("__a")), "hub")
-    return with_python(d, ["__a", "__b"], "same boolean", make, drop=["__a", "__b"]).filter("same").select("hub", "key")
+    return with_python(d, ["__a", "__b"], "same boolean", make, drop=["__a", "__b"]).filter("same").select(*pairs.columns)
 
 
 def contracted(edges: DataFrame) -> DataFrame:
     """(v, root) for every end of ``edges`` (u, v): equal roots in a connected component.
 
-    Each round moves every vertex to the neighbour of the least hash in that round, which takes a
-    constant part of the vertices away, chains included.
+    Each round moves every vertex to the neighbour of the least hash. Two rounds have the same hash: the
+    first draws a star's members to the least of them, the second joins them, however many they are; a new
+    hash then takes a constant part of the vertices away, chains included. Edges never become more, so
+    repeated ones are not looked for.
     """
     roots: DataFrame | None = None
     turn = 0
     while not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        rank = lambda c: F.struct(F.xxhash64(c, F.lit(turn)).alias("h"), F.col(c).alias("to"))  # noqa: B023, E731
+        rank = lambda c: F.struct(F.xxhash64(c, F.lit(turn // 2)).alias("h"), F.col(c).alias("to"))  # noqa: B023, E731
         near = both.groupBy("u").agg(F.least(F.min(rank("v")), F.min(rank("u"))).alias("m"))
         moved = materialized(near.select("u", F.col("m.to").alias("to")))
         if roots is None:
@@ -226,26 +228,40 @@ def contracted(edges: DataFrame) -> DataFrame:
             roots = materialized(step.select("v", F.coalesce("to", "root").alias("root")))
         new = edges.join(moved, "u").select("v", F.col("to").alias("a"))
         new = new.join(moved.select(F.col("u").alias("v"), F.col("to").alias("b")), "v")
-        edges = materialized(new.filter("a != b").select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct())
+        edges = materialized(new.filter("a != b").select(F.col("a").alias("u"), F.col("b").alias("v")))
         turn += 1
     return roots if roots is not None else edges.select("v", F.col("u").alias("root"))
 
 
-def candidate_pairs(members: DataFrame, labels: DataFrame, sketches_used: int, hubs: int, central: bool, salt: int) -> DataFrame:
-    """Distinct (hub, key) that share a bucket, have different labels and numbers of distinct shingles that allow the similarity."""
-    open_ = members.filter(F.col("j") < sketches_used).join(labels, "key")
+def paired(key: str, label: str, other: str, other_label: str) -> list[Column]:
+    """hub, key, hub_label and label of two texts, the lesser key as the hub."""
+    swap = F.col(key) < F.col(other)
+    ends = (("hub", key, other), ("key", other, key), ("hub_label", label, other_label), ("label", other_label, label))
+    return [F.when(swap, F.col(a)).otherwise(F.col(b)).alias(name) for name, a, b in ends]
+
+
+def open_members(texts: DataFrame) -> DataFrame:
+    """(key, n, company, label, j, bucket) of ``texts`` (key, n, company, s, label)."""
+    return texts.select("key", "n", "company", "label", F.explode("s").alias("s")).select("key", "n", "company", "label", "s.*")
+
+
+def candidate_pairs(texts: DataFrame, sketches_used: int, hubs: int, central: bool, salt: int) -> DataFrame:
+    """Distinct (hub, key, hub_label, label) that share a bucket, with different labels and numbers of distinct shingles that allow the similarity."""
+    open_ = open_members(texts).filter(F.col("j") < sketches_used)
     order: Column = -F.col("company") if central else F.xxhash64("key", F.lit(salt))
     share = F.pmod(F.xxhash64("key", F.lit(salt + 1)), F.lit(hubs)) if hubs > 1 else F.lit(0).cast("long")
     row = F.struct(order.alias("h"), F.col("key").alias("hub"), F.col("n").alias("hub_n"), F.col("label").alias("hub_label"))
-    found = open_.groupBy("bucket", share.alias("share")).agg(F.min(row).alias("r")).select("bucket", "r.*")
+    least = [F.min(F.when(share == k, row)).alias(f"r{k}") for k in range(hubs)]
+    found = open_.groupBy("bucket").agg(*least).select("bucket", F.explode(F.array(*[f"r{k}" for k in range(hubs)])).alias("r"))
+    found = found.filter("r IS NOT NULL").select("bucket", "r.*")
     bound = F.least("n", "hub_n") >= SIMILARITY * F.greatest("n", "hub_n")
     pairs = open_.join(found.drop("h"), (open_["bucket"] == found["bucket"]) & (F.col("label") != F.col("hub_label")) & bound)
-    return pairs.select(F.least("hub", "key").alias("hub"), F.greatest("hub", "key").alias("key")).distinct()
+    return pairs.select(*paired("key", "label", "hub", "hub_label")).dropDuplicates(["hub", "key"])
 
 
-def still_open(members: DataFrame, labels: DataFrame) -> DataFrame:
+def still_open(texts: DataFrame) -> DataFrame:
     """(key, label) of the texts in a bucket that holds several labels."""
-    m = members.select("bucket", "key").join(labels, "key")
+    m = open_members(texts).select("bucket", "key", "label")
     several = m.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi").select("bucket")
     return m.join(several, "bucket").select("key", "label").distinct()
 
@@ -296,7 +312,7 @@ def prefixes(texts: DataFrame) -> DataFrame:
 
 
 def rare_pairs(texts: DataFrame) -> DataFrame:
-    """Distinct (hub, key) of ``texts`` (key, label, words) with different labels: all that can have the similarity.
+    """Distinct (hub, key, hub_label, label) of ``texts`` (key, label, words) with different labels: all that can have the similarity.
 
     Of two texts the shorter is found by its shorter prefix. At the first shingle that both have, what
     follows must suffice for the similarity. A shingle's texts of its most frequent label are not
@@ -318,17 +334,15 @@ def rare_pairs(texts: DataFrame) -> DataFrame:
         longer = rows.filter(two).drop("main").withColumnsRenamed(names).withColumnRenamed("shingle", "o_shingle")
         part = rows.filter(short & one).join(longer, (F.col("shingle") == F.col("o_shingle")) & fits)
         found = part if found is None else found.unionByName(part)
-    return found.select(F.least("key", "o_key").alias("hub"), F.greatest("key", "o_key").alias("key")).distinct()
+    return found.select(*paired("key", "label", "o_key", "o_label")).dropDuplicates(["hub", "key"])
 
 
-def merged(labels: DataFrame, pairs: DataFrame, words: DataFrame) -> DataFrame:
-    """``labels`` (key, label) after the ``pairs`` that the alignment confirms are linked."""
-    found = materialized(verified(pairs, words))
-    edges = found.join(labels.select(F.col("key").alias("hub"), F.col("label").alias("u")), "hub")
-    edges = edges.join(labels.select("key", F.col("label").alias("v")), "key").filter("u != v").select("u", "v").distinct()
-    roots = contracted(materialized(edges))
-    moved = labels.join(roots.withColumnRenamed("v", "label"), "label", "left")
-    return materialized(moved.select("key", F.coalesce("root", "label").alias("label")))
+def merged(texts: DataFrame, pairs: DataFrame, words: DataFrame) -> DataFrame:
+    """``texts`` with the label of each after the ``pairs`` (with both labels) that the alignment confirms are linked."""
+    found = verified(pairs, words).select(F.col("hub_label").alias("u"), F.col("label").alias("v"))
+    roots = contracted(materialized(found))
+    moved = texts.join(roots.withColumnRenamed("v", "label"), "label", "left")
+    return materialized(moved.withColumn("label", F.coalesce("root", "label")).select(*texts.columns))
 
 
 def near_classes(docs: DataFrame) -> DataFrame:
@@ -338,21 +352,21 @@ def near_classes(docs: DataFrame) -> DataFrame:
     nodes = materialized(nodes.withColumnRenamed("__key", "key"))
     single = nodes.select("key", "n", F.posexplode("s").alias("j", "bucket"))
     full = single.groupBy("bucket").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
-    shared = materialized(single.join(full, "bucket"))
-    company = materialized(shared.groupBy("key").agg(F.sum("c").alias("company")))
-    members = materialized(shared.drop("c").join(company, "key"))
-    wanted = materialized(nodes.join(company, "key").filter("digest IS NOT NULL").select("digest", "key"))
+    # the sketches that a text shares, 20 at most, stay in one row with its label
+    own = F.collect_list(F.struct("j", "bucket")).alias("s")
+    texts = single.join(full, "bucket").groupBy("key", "n").agg(F.sum("c").alias("company"), own)
+    texts = materialized(texts.withColumn("label", F.col("key")))
+    wanted = materialized(nodes.select("key", "digest").join(texts.select("key"), "key").filter("digest IS NOT NULL").select("digest", "key"))
     words = materialized(word_rows(docs, wanted))
-    labels = materialized(company.select("key", F.col("key").alias("label")))
     tried: DataFrame | None = None
     for turn, (used, hubs, central) in enumerate(ROUNDS):
-        pairs = candidate_pairs(members, labels, used, hubs, central, 97 * turn)
+        pairs = candidate_pairs(texts, used, hubs, central, 97 * turn)
         pairs = materialized(pairs if tried is None else pairs.join(tried, ["hub", "key"], "left_anti"))
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        labels = merged(labels, pairs, words)
-    apart = materialized(still_open(members, labels).join(words, "key"))
-    pairs = rare_pairs(apart)
-    labels = merged(labels, materialized(pairs.join(tried, ["hub", "key"], "left_anti")), words)
+        tried = pairs.select("hub", "key") if tried is None else tried.unionByName(pairs.select("hub", "key"))
+        texts = merged(texts, pairs, words)
+    apart = materialized(still_open(texts).join(words, "key"))
+    pairs = materialized(rare_pairs(apart).join(tried, ["hub", "key"], "left_anti"))
+    labels = merged(texts.select("key", "label"), pairs, words)
     out = rows.select("doc_id", F.col("__digest").alias("digest"), F.col("__key").alias("key"))
     return out.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key"))
 

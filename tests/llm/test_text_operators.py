@@ -306,6 +306,16 @@ def test_contracted_chains(spark):
     assert roots[b"x"] != roots[bytes([0])]
 
 
+def test_stars_are_contracted_in_two_rounds(spark, monkeypatch):
+    written = []
+    keep = order_minhash.materialized
+    monkeypatch.setattr(order_minhash, "materialized", lambda d: written.append(d) or keep(d))
+    edges = [(b"hub", k.to_bytes(2, "big")) for k in range(400)] + [(b"other", b"end")]
+    roots = order_minhash.contracted(spark.createDataFrame(edges, "u binary, v binary")).collect()
+    assert len(roots) == 403 and len({bytes(r["root"]) for r in roots}) == 2
+    assert len(written) <= 5  # two rounds; every new hash alone leaves half of the members
+
+
 def test_dedup_odd_rows(odd, empty):
     rows = order_minhash.near_duplicates(odd).collect()
     assert len(rows) == len(ODD)
