@@ -1,11 +1,15 @@
-"""Main text of web pages: what a page does not share with the nearest page of its host.
-
-A page is read into lines, one per block, each marked as inside a content element, inside an element
-that is not content by its name, role or class, or neither; a class does not decide for a content
-element inside. Pages are paired within a host by the longest
-common part of the URL path, and their lines outside content elements are aligned by longest common
-subsequence; shared lines go. Content elements are trusted: menus and adverts that no other page
-has still go by their element, and text of an article stays although another page has it too.
+"""Main text of web pages: what a page does not share with the nearest pages of its host.
+
+A page is read into lines, one per block, each with its kind (inside a content element, inside an element that is
+not content by its name, role or class, or neither; a class does not decide for a content element inside) and the
+innermost content element it is in. Pages are paired within a host by the longest common part of the URL path. All
+lines of a page are aligned with all lines of its nearest pages by longest common subsequence: what is shared is the
+template, what is not is the page's own. A page of which all lines are shared is a copy and tells nothing.
+
+The lines that are the page's own say which places of the template it fills; the elements say which of these
+places can hold the main text. A content element with lines of its own is the article and comes whole, as an
+article may quote another; one whose lines are all template, such as a teaser on all pages, goes. Without
+content elements the own lines that no element rules out are the text.
 """
 
 from __future__ import annotations
@@ -99,14 +103,20 @@ def _kind(name: str, attr: str) -> int:
 
 def lines_of(html: str | None) -> list[tuple[str, int]]:
     """(text, kind) of each block with text; what an unclosed tag or comment at the end holds is markup."""
-    out: list[tuple[str, int]] = []
+    return [(text, kind) for text, kind, _ in placed_lines(html)]
+
+
+def placed_lines(html: str | None) -> list[tuple[str, int, int]]:
+    """(text, kind, place) of each block with text; place is the number of the innermost content element, 0 outside."""
+    out: list[tuple[str, int, int]] = []
     text: list[str] = []
     stack: list[tuple[str, int]] = []
-    kind, at, html = NEITHER, 0, html or ""
+    places: list[int] = []
+    kind, place, made, at, html = NEITHER, 0, 0, 0, html or ""
 
     def flush() -> None:
         if line := " ".join("".join(text).split()):
-            out.append((line, kind))
+            out.append((line, kind, place))
         text.clear()
 
     for m in _TOKEN.finditer(html):
@@ -134,10 +144,15 @@ def lines_of(html: str | None) -> list[tuple[str, int]]:
             if own == ASIDE and above == CONTENT and name == "header" and "=" not in m["attr"]:
                 inside = CONTENT  # the title of an article
             stack.append((name, inside))
+            del places[len(stack) - 1 :]
+            if own == CONTENT:
+                made += 1
+            places.append(made if own == CONTENT else places[-1] if places else 0)
         new = min(stack[-1][1], ASIDE) if stack else NEITHER
-        if new != kind:
+        here = places[len(stack) - 1] if stack else 0
+        if new != kind or here != place:
             flush()
-            kind = new
+            kind, place = new, here
     if at < len(html):
         text.append(references.unescape(html[at:]))
     flush()
@@ -183,19 +198,23 @@ def _key(url: str | None, html: str | None) -> bytes:
     return xxhash.xxh3_128_digest(f"{url or ''}\n{html or ''}")
 
 
+def _marks(lines: list[tuple[str, int, int]]) -> list[int]:
+    """A number for each line, equal for lines of equal text and kind."""
+    return [xxhash.xxh3_64_intdigest(t, kind) - (1 << 63) for t, kind, _ in lines]
+
+
 def nearest_lines(pages: DataFrame) -> DataFrame:
-    """(__key, __other): the lines outside content of the page nearest to each page.
+    """(__key, __others): the marks of all lines of the one or two pages nearest to each page.
 
-    A page's nearest page is one that agrees with it in the longest part of host and path: the first by
-    path in that group, or the last if it is the first itself. Equal pages count once. Only the two
-    ends of a group carry their lines.
+    A page's nearest pages are those that agree with it in the longest part of host and path; of several the
+    first and the last by path are taken. Equal pages count once. Only the two ends of a group carry their lines.
     """
 
     def make():
         def each(urls, htmls):
             for url, html in zip(urls, htmls, strict=True):
                 path, steps = prefixes(url)
-                yield _key(url, html), path, steps, [t for t, kind in lines_of(html) if kind != CONTENT]
+                yield _key(url, html), path, steps, _marks(placed_lines(html))
 
         return each
 
@@ -204,49 +223,68 @@ def nearest_lines(pages: DataFrame) -> DataFrame:
 
     d = pages.select(F.col("url").alias("__url"), F.col("html").alias("__html"))
     inputs = ["__url", "__html"]
-    read = with_python(d, inputs, "__key binary, __path string, __steps array<string>, __lines array<string>", make, drop=inputs)
+    read = with_python(d, inputs, "__key binary, __path string, __steps array<string>, __lines array<bigint>", make, drop=inputs)
     page = F.struct(F.col("__path").alias("path"), F.col("__key").alias("key"), F.col("__lines").alias("lines"))
     groups = read.select(F.explode("__steps").alias("step"), page.alias("page")).groupBy("step")
     ends = materialized(groups.agg(F.min("page").alias("lo"), F.max("page").alias("hi")).filter("lo.key != hi.key"))
     steps = with_python(d, inputs, "__key binary, __steps array<string>", place, drop=inputs)
     near = steps.select("__key", F.posexplode("__steps").alias("depth", "step")).join(ends, "step")
-    other = F.when(F.col("lo.key") != F.col("__key"), F.col("lo.lines")).otherwise(F.col("hi.lines"))
-    deepest = near.groupBy("__key").agg(F.max(F.struct("depth", other.alias("lines"))).alias("m"))
-    return deepest.select("__key", F.col("m.lines").alias("__other"))
+    others = F.array_compact(F.array(*[F.when(F.col(f"{end}.key") != F.col("__key"), F.col(f"{end}.lines")) for end in ("lo", "hi")]))
+    deepest = near.groupBy("__key").agg(F.max(F.struct("depth", others.alias("lines"))).alias("m"))
+    return deepest.select("__key", F.col("m.lines").alias("__others"))
+
+
+def own_lines(mine: list[int], others: list[list[int]]) -> set[int]:
+    """Places in ``mine`` (marks of a page's lines) that no page of ``others`` shares; pages that share all are copies and tell nothing."""
+    own = set(range(len(mine)))
+    for other in others:
+        both = shared(mine, other)
+        if len(both) < len(mine):
+            own.difference_update(both)
+    return own
+
+
+def chosen(kinds: list[int], places: list[int], own: set[int]) -> list[int]:
+    """The lines of the main text: of content elements with lines of the page's own all, else own lines that no element rules out.
+
+    If no content element has a line of its own, another page has the same article, and all of them count.
+    """
+    content = {places[k] for k, kind in enumerate(kinds) if kind == CONTENT}
+    if content:
+        filled = {places[k] for k in own if kinds[k] == CONTENT} or content
+        return [k for k, kind in enumerate(kinds) if kind == CONTENT and places[k] in filled]
+    return [k for k, kind in enumerate(kinds) if kind == NEITHER and k in own]
 
 
 def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of each row of ``pages``.
 
-    A page with a content element gives the lines in it, without those of menus, forms and the like
-    inside; any other page gives its lines that are not marked as such and not shared with the nearest
-    page. NULL and empty html give the empty text; a NULL url is a host of its own; a page alone on its
-    host shares nothing. Repeated rows are treated alike. Further columns play no part.
+    Every row's text comes from the alignment of all its lines with those of its nearest pages (see above). NULL
+    and empty html give the empty text; a NULL url is a host of its own; a page alone on its host shares nothing.
+    Repeated rows are treated alike. Further columns play no part.
     """
 
     def make():
         def each(urls, htmls):
             for url, html in zip(urls, htmls, strict=True):
-                lines = lines_of(html)
-                content = " ".join(t for t, kind in lines if kind == CONTENT)
-                rest = [(t, kind == NEITHER) for t, kind in lines if kind != CONTENT]
-                yield _key(url, html), content, [t for t, _ in rest], [k for k, (_, free) in enumerate(rest) if free]
+                lines = placed_lines(html)
+                kinds = [kind for _, kind, _ in lines]
+                wanted = CONTENT if CONTENT in kinds else NEITHER  # no other line can be chosen
+                yield _key(url, html), [t if kind == wanted else None for t, kind, _ in lines], kinds, [p for _, _, p in lines], _marks(lines)
 
         return each
 
     def differ():
-        def each(mine, open_, others):
-            for lines, places, other in zip(mine, open_, others, strict=True):
-                gone = set(shared(lines, other or []))
-                yield (" ".join(lines[k] for k in places if k not in gone),)
+        def each(texts, kinds, places, marks, others):
+            for lines, k, p, mine, other in zip(texts, kinds, places, marks, others, strict=True):
+                yield (" ".join(lines[at] for at in chosen(k, p, own_lines(mine, other or []))),)
 
         return each
 
     d = pages.select("page_id", "url", F.col("html").alias("__html"))
-    added = "__key binary, __content string, __mine array<string>, __open array<int>"
+    added = "__key binary, __lines array<string>, __kinds array<tinyint>, __places array<int>, __marks array<bigint>"
     read = with_python(d, ["url", "__html"], added, make, drop=["__html"])
     both = read.join(nearest_lines(pages), "__key", "left").drop("__key")
-    inputs = ["__mine", "__open", "__other"]
-    out = with_python(both, inputs, "__own string", differ, drop=inputs)
-    text = F.when(F.col("__content") != "", F.col("__content")).otherwise(F.col("__own"))
-    return out.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+    inputs = ["__lines", "__kinds", "__places", "__marks", "__others"]
+    out = with_python(both, inputs, "text string", differ, drop=inputs)
+    return out.select("page_id", "url", "text").withColumn("n_chars", F.length("text").cast("long"))

@@ -523,6 +523,17 @@ def test_pages_without_articles_lose_shared_lines(spark):
     assert html_diff.main_text(d).count() == len(rows) and html_diff.main_text(d.limit(0)).count() == 0
 
 
+def test_alignment_decides_between_articles(spark):
+    card = "<article><h2>Read {0}</h2><p>also</article>"
+    page = "<main>" + card.format("this") + "<article><h1>T{0}</h1><p>Own {0}<p>A quote</article>" + card.format("that") + "</main><footer>F{0}</footer>"
+    rows = [(k, f"http://h.example/a/{k}", page.format(k)) for k in range(4)]
+    rows += [(9, "http://copy.example/1", page.format(9)), (10, "http://copy.example/2", page.format(9) + "<footer>more</footer>")]
+    got = {r["page_id"]: r["text"] for r in html_diff.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [got[k] for k in range(4)] == [f"T{k} Own {k} A quote" for k in range(4)]  # cards go, a shared line of the article stays
+    assert got[9] == got[10] == "Read this also T9 Own 9 A quote Read that also"
+    assert html_diff.own_lines([1, 2, 3], [[1, 2, 3], [0, 3]]) == {0, 1} and html_diff.own_lines([1], []) == {0}
+
+
 def test_loose_marks_do_not_drop_articles():
     def content(page):
         return [t for t, kind in html_diff.lines_of(page) if kind == html_diff.CONTENT]
