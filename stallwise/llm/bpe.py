@@ -105,17 +105,17 @@ class WordBpe:
                 heapq.heappush(queue, found * n + start)
         return [i for i in ids if i >= 0]
 
-    def _word(self, word: str) -> list[int]:
+    def _word(self, word: str) -> tuple[int, ...]:
         data = word.encode("utf-8")
         ids = [self.inner[b] for b in data]
         ids[-1] = self.final[data[-1]]
-        return self._merged(ids)
+        return tuple(self._merged(ids))
 
-    def _chunk(self, chunk: str) -> list[int]:
+    def _chunk(self, chunk: str) -> tuple[int, ...]:
         found = self.word.findall(chunk)
-        return self.words(found[0]) if len(found) == 1 else [i for w in found for i in self.words(w)]
+        return self.words(found[0]) if len(found) == 1 else tuple(i for w in found for i in self.words(w))
 
-    def _plain(self, text: str, parts: list[list[int]]) -> None:
+    def _plain(self, text: str, parts: list[tuple[int, ...]]) -> None:
         text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()  # letter by letter: no final sigma
         # no match of the pattern holds white space, so what stands between it can be looked up whole
         if NOT_SPACE.search(text):
@@ -126,11 +126,11 @@ class WordBpe:
 
     def encode(self, text: str | None) -> tuple[np.ndarray, str]:
         """The ids of a text and the text that they decode to; special tokens in it keep their ids."""
-        parts: list[list[int]] = []
+        parts: list[tuple[int, ...]] = []
         at = 0
         for m in self.cut.finditer(text or ""):
             self._plain(text[at : m.start()], parts)
-            parts.append([self.special[m[0]]])
+            parts.append((self.special[m[0]],))
             at = m.end()
         self._plain((text or "")[at:], parts)
         ids = list(chain.from_iterable(parts))

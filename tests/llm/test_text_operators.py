@@ -18,6 +18,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from compare import connect, difference
 from stallwise.llm import (
+    arrow,
     bpe,
     chat_trees,
     decontaminate,
@@ -422,6 +423,20 @@ def test_bpe_matches_library(docs):
         assert decoded == mine.decode(want) == library.decode(want, skip_special_tokens=False)
 
 
+def test_batches_and_cached_words_are_small(spark):
+    spark.conf.unset(arrow.BATCH_ROWS)
+    d = spark.range(3000)
+    assert arrow.with_python(d, ["id"], "twice long", lambda: lambda ids: ((2 * i,) for i in ids)).agg(F.sum("twice")).first()[0] == 2999 * 3000
+    assert spark.conf.get(arrow.BATCH_ROWS) == str(arrow.ROWS_AT_ONCE) == "1000"
+    spark.conf.set(arrow.BATCH_ROWS, 700)
+    arrow.with_python(d, ["id"], "same long", lambda: lambda ids: ((i,) for i in ids))
+    assert spark.conf.get(arrow.BATCH_ROWS) == "700"  # a session's own choice stays
+    spark.conf.unset(arrow.BATCH_ROWS)
+    model = bpe.WordBpe(TOKENS)
+    model.encode("some words, some more")
+    assert {type(ids) for ids in [*model.words.new.values(), *model.chunks.new.values()]} == {tuple}
+
+
 def test_bpe_columns_and_odd_rows(spark, odd, empty):
     rows = bpe.token_digests(odd, TOKENS).collect()
     assert len(rows) == len(ODD)
