@@ -163,8 +163,8 @@ def _signed_area(ring: np.ndarray) -> float:
     return float(np.sum(local[:-1, 0] * local[1:, 1] - local[1:, 0] * local[:-1, 1]) / 2)
 
 
-def decode_polygon(content: bytes):
-    """A record's shape as a multipolygon: clockwise rings are shells, the others their holes."""
+def decode_polygon(content: bytes) -> list[list[np.ndarray]] | None:
+    """A record's shape as polygons, lists of rings: clockwise rings are shells, the others their holes."""
     kind = int.from_bytes(content[:4], "little")
     if kind == 0:
         return None
@@ -173,6 +173,8 @@ def decode_polygon(content: bytes):
     n_parts, n_points = (int.from_bytes(content[a : a + 4], "little") for a in (36, 40))
     starts = np.frombuffer(content, "<i4", n_parts, 44)
     points = np.frombuffer(content, "<f8", 2 * n_points, 44 + 4 * n_parts).reshape(-1, 2)
+    if n_parts == 1:  # a shell, whichever way it runs
+        return [[points]]
     rings = np.split(points, starts[1:])
     areas = [_signed_area(r) if len(r) else 0.0 for r in rings]
     shells = [i for i, a in enumerate(areas) if a <= 0] or list(range(len(rings)))
@@ -182,7 +184,23 @@ def decode_polygon(content: bytes):
             continue
         around = [s for s in shells if _inside(ring[0], rings[s])] or shells[:1]
         polygons[min(around, key=lambda s: abs(areas[s]))].append(ring)
-    return [[[{"x": x, "y": y} for x, y in r.tolist()] for r in p] for p in polygons.values()]
+    return list(polygons.values())
+
+
+def _lists(items: list[list], values: pa.Array, mask: pa.Array | None = None) -> pa.ListArray:
+    """A list for each item, as long as it, of the values one after the other."""
+    ends = np.cumsum([0, *map(len, items)], dtype="i4")
+    return pa.ListArray.from_arrays(pa.array(ends), values, mask=mask)
+
+
+def arrow_polygons(shapes: list[list[list[np.ndarray]] | None]) -> pa.Array:
+    """Decoded shapes as a column of ``ARROW_GEOM``."""
+    polygons = [polygon for shape in shapes for polygon in shape or []]
+    rings = [ring for polygon in polygons for ring in polygon]
+    points = np.concatenate([np.empty((0, 2)), *rings])
+    pairs = pa.StructArray.from_arrays([pa.array(points[:, 0]), pa.array(points[:, 1])], names=["x", "y"])
+    absent = pa.array([shape is None for shape in shapes], pa.bool_())
+    return _lists([shape or [] for shape in shapes], _lists(polygons, _lists(rings, pairs)), absent)
 
 
 @dataclass
@@ -227,15 +245,14 @@ class ShapefileReader(DataSourceReader):
         kept = [i for i in range(count) if table[i * layout.width] != ord("*")]
         columns = {}
         for field in layout.fields:
-            texts = (
-                table[i * layout.width + field.offset :][: field.width].decode(self.encoding) for i in kept
-            )
+            places = (i * layout.width + field.offset for i in kept)
+            texts = (table[at : at + field.width].decode(self.encoding) for at in places)
             if field.name in self.types:
                 values = pa.array([field.value(t) for t in texts], field.arrow_type())
                 columns[field.name] = values.cast(self.types[field.name])
         starts = [int(offsets[i]) - base + 8 for i in kept]
         bodies = (shapes[s : s + int(lengths[i])] for s, i in zip(starts, kept))
-        columns["geom"] = pa.array([decode_polygon(b) for b in bodies], ARROW_GEOM)
+        columns["geom"] = arrow_polygons([decode_polygon(b) for b in bodies])
         columns["path"] = pa.array([path] * len(kept), pa.string())
         for name, kind in self.types.items():
             columns.setdefault(name, pa.nulls(len(kept), kind))

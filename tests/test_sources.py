@@ -37,6 +37,7 @@ from stallwise.sources.schemas import widened
 from stallwise.sources.shapefile import register
 from stallwise.sources.sign_types import e_types
 from stallwise.sources.snapshots import latest_per_class, latest_snapshot, one_file_per_district, with_snapshot
+from workload import sources
 from workload.shapefile_writer import write_shapefile
 
 FLAGS = ["ma_vr", "ma_za", "zo", "ma", "di", "wo", "do", "vr", "za"]
@@ -91,6 +92,24 @@ def test_shapefile_pattern_and_errors(spark, tmp_path):
         spark.read.format("shapefile").load(f"{tmp_path}/none*").count()
 
 
+def test_shapefile_is_written_from_a_stream(spark, tmp_path):
+    """Rows are taken once, so a file needs no list of them; many are read back whole and in place."""
+    fields = [("id", "C", 8, 0), ("aantal", "N", 6, 0)]
+    rows = ({"id": f"A{i}", "aantal": i, "geom": [[ring(i, 0)]] if i % 7 else None} for i in range(12_345))
+    assert write_shapefile(f"{tmp_path}/many", fields, rows) == 12_345
+    register(spark)
+    d = spark.read.format("shapefile").load(str(tmp_path))
+    got = d.select("id", F.col("aantal").cast("int"), F.col("geom")[0][0][0]["x"].alias("x"), area("geom").alias("a")).collect()
+    assert sorted(map(tuple, got)) == sorted((f"A{i}", i, float(i) if i % 7 else None, 12.0 if i % 7 else None) for i in range(12_345))
+
+
+def test_spots_are_written_to_more_files_as_they_grow(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sources, "SPOTS_A_FILE", 30)
+    monkeypatch.setattr(sources, "scratch_dir", lambda spark: str(tmp_path))
+    assert sources.scan_shapefile(spark, "/root/testdata/sf0.001").select("parkeer_id").distinct().count() == 200
+    assert len(list(tmp_path.glob("*.shp"))) == 7
+
+
 def test_shapefiles_of_differing_columns(spark, tmp_path):
     geom = [[ring(0, 0)]]
     write_shapefile(f"{tmp_path}/a", [("id", "C", 5, 0), ("aantal", "N", 6, 0)], [{"id": "a", "aantal": 12345, "geom": geom}])
