@@ -105,9 +105,10 @@ def test_shapefile_is_written_from_a_stream(spark, tmp_path):
 
 def test_spots_are_written_to_more_files_as_they_grow(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(sources, "SPOTS_A_FILE", 30)
-    monkeypatch.setattr(sources, "scratch_dir", lambda spark: str(tmp_path))
-    assert sources.scan_shapefile(spark, "/root/testdata/sf0.001").select("parkeer_id").distinct().count() == 200
-    assert len(list(tmp_path.glob("*.shp"))) == 7
+    monkeypatch.setattr(sources, "scratch_dir", lambda spark: f"{tmp_path}/files")
+    spark.range(200).withColumnRenamed("id", "p_partkey").write.parquet(f"{tmp_path}/part.parquet")
+    assert sources.scan_shapefile(spark, str(tmp_path)).select("parkeer_id").distinct().count() == 200
+    assert len(list(tmp_path.glob("files/*.shp"))) == 7
 
 
 def test_shapefiles_of_differing_columns(spark, tmp_path):
@@ -246,6 +247,19 @@ def test_whole_update(spark, tmp_path):
         read_snapshots(spark, [second], at_least=8)
 
 
+def test_checks_of_an_update_run_once(spark, tmp_path):
+    """What ``derive`` returns is read from the store; the layers are not counted and grouped again for it."""
+    store, day = f"{tmp_path}/store", dt.date(2015, 2, 10)
+    rows = [record("a1", begintijd1="9:00", eindtijd1="17:00"), record("a2", 10.0, soort="FISCAAL", tvm_begind=day, tvm_eindd=day)]
+    write_shapefile(f"{tmp_path}/in/a_parkeerhaven_RD_20150201", FIELDS, rows)
+    register(spark)
+    write_history(history_rows(spark.read.format("shapefile").load(f"{tmp_path}/in")), f"{store}/history")
+    checks = derive(spark, store, day, "1 day", min_spots=2)
+    assert {f.split("/store/")[1].split("/")[0] for f in checks.inputFiles()} == {"checks"}
+    got = {r.check: (r.value, r.ok) for r in checks.collect()}
+    assert got["count history"] == got["enough spots"] == (2, True) and got["unique reservations"] == (0, True) and len(got) == 17
+
+
 def test_history_keeps_columns_of_some_districts(spark, tmp_path):
     path = str(tmp_path / "history")
     write_history(spark.createDataFrame([("a", 1)], "stadsdeel string, id int"), path)
